@@ -6,14 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pedalmill.functions.keys import key_shape
+from pedalmill.functions.keys import with_key_number
 from pedalmill.operators.skew import salted_left_join
 
-#: Parent keys are cut into blocks of so many consecutive integers; a block's runs are one row.
-BLOCK = 256
+#: Parent keys are cut into blocks of 2 to this power of consecutive integers. A block's runs are one row, which every
+#: reference to it is joined with, so a large block costs more per reference than it saves in rows.
+BLOCK_BITS = 4
 
 
-def parent_runs(parents: DataFrame, key: Column, start: Column, end: Column | None = None, block: int = BLOCK) -> DataFrame:
+def parent_runs(parents: DataFrame, key: Column, start: Column, end: Column | None = None, bits: int = BLOCK_BITS) -> DataFrame:
     """(shape, block, runs): the parents' keys as runs of consecutive integers.
 
     A run is struct(first, last, spans): the keys first..last all have records, and spans[n - first] are
@@ -25,12 +26,12 @@ def parent_runs(parents: DataFrame, key: Column, start: Column, end: Column | No
     rows = parents.select(key.alias("__key"), start.cast("timestamp_ntz").alias("__from"), end.cast("timestamp_ntz").alias("__to"))
     rows = rows.where(F.col("__key").isNotNull() & F.col("__from").isNotNull())
     unique = (
-        rows.withColumn("__k", key_shape(F.col("__key")))
-        .select("__k.shape", F.floor(F.col("__k.n") / block).alias("block"), "__k.n", "__from", "__to")
+        with_key_number(rows, "__key")
+        .withColumn("block", F.shiftright("n", bits))
         .groupBy("shape", "block", "n", "__to")
         .agg(F.min("__from").alias("__from"))
     )
-    # from here on all is clustered by (shape, block): at most `block` keys, one shuffle for the three steps
+    # from here on all is clustered by (shape, block): at most 2 ** bits keys, one shuffle for the three steps
     keys = (
         unique.repartition("shape", "block")
         .groupBy("shape", "block", "n")
@@ -46,7 +47,7 @@ def parent_runs(parents: DataFrame, key: Column, start: Column, end: Column | No
     )
 
 
-def find_orphans(refs: DataFrame, row_id: Column, key: Column, at: Column, runs: DataFrame, block: int = BLOCK) -> DataFrame:
+def find_orphans(refs: DataFrame, row_id: Column, key: Column, at: Column, runs: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     """(row_id, at, why) of the references whose key has no live record at the row's time.
 
     Every reference is matched as of the start of the preceding run of its block; ``why`` is 'missing'
@@ -54,12 +55,8 @@ def find_orphans(refs: DataFrame, row_id: Column, key: Column, at: Column, runs:
     other times only. References that are null, or whose time is null, are no cases. Repeated rows come
     out as often as they come in.
     """
-    r = (
-        refs.select(row_id.alias("row_id"), key.alias("__key"), at.cast("timestamp_ntz").alias("at"))
-        .where(F.col("__key").isNotNull() & F.col("at").isNotNull())
-        .withColumn("__k", key_shape(F.col("__key")))
-        .select("row_id", "at", F.col("__k.shape").alias("shape"), F.floor(F.col("__k.n") / block).alias("block"), F.col("__k.n").alias("n"))
-    )
+    r = refs.select(row_id.alias("row_id"), key.alias("__key"), at.cast("timestamp_ntz").alias("at"))
+    r = with_key_number(r.where(F.col("__key").isNotNull() & F.col("at").isNotNull()), "__key").withColumn("block", F.shiftright("n", bits))
     joined = salted_left_join(r, runs, ["shape", "block"], ["row_id", "at"])
     run = F.try_element_at(F.filter("runs", lambda x: x["first"] <= F.col("n")), F.lit(-1))
     hit = joined.select("row_id", "at", "n", run.alias("run"))
