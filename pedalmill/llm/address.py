@@ -28,9 +28,11 @@ _NUMBER = re.compile(r"^\d+[a-z]?(?:[/-]\d*[a-z]?\d*)*$")
 
 @dataclass
 class Address:
-    """number: the house number or ''; street: its words, plain; phrases: what may name a province."""
+    """number: the house number or ''; mark: what stands before the street's name; street: its words,
+    plain; phrases: what may name a province."""
 
     number: str = ""
+    mark: str = ""
     street: tuple[str, ...] = ()
     phrases: list[tuple[str, bool]] = field(default_factory=list)
 
@@ -188,14 +190,14 @@ def parse(text: str | None, names: frozenset[str] = frozenset(), dotted: frozens
             words = [t[1] for t in tokens[i:end]]
             stop = next((k for k in range(i + 1, end) if _mark(tokens, k)[0] in ("district", "ward", "province", "number")), end)
             if kind == "street" and not (stop - i == 2 and word in ("pho", "xom", "xóm") and len(words[1]) <= 7):
+                out.mark = " ".join(words[:size])
                 i += size
                 stop = max(stop, i)
             elif kind in ("district", "ward", "province", "none") and stop - i > 2:
                 waiting = False
                 continue
-            elif stop - i >= 3 and _looks_marked(words[0]):
-                i += 1
-            elif stop - i >= 3 and len(words[0]) == 1:
+            elif stop - i >= 3 and (_looks_marked(words[0]) or len(words[0]) == 1):
+                out.mark = words[0]
                 i += 1
             if i >= n or tokens[i][0] == ",":
                 i += 1

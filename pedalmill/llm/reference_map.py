@@ -68,6 +68,22 @@ class Shard:
         return won
 
 
+def _finder(entries, phrases: Callable[[str | None], list[tuple[str, bool]]]):
+    def find(values: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        shard = Shard(entries.value)
+        for batch in values:
+            won = [shard.best(phrases(v)) for v in batch]
+            yield pd.DataFrame(
+                {
+                    "rank": [None if w is None else [w[0], int(w[1]), int(w[2]), w[3], w[4]] for w in won],
+                    "entry": [None if w is None else w[5] for w in won],
+                    "id": pd.array([None if w is None else w[6] for w in won], dtype="Int32"),
+                }
+            )
+
+    return find
+
+
 WINNER = "struct<rank:array<int>,entry:string,id:int>"
 
 
@@ -92,20 +108,7 @@ def map_to_reference(
         part = entries if shards == 1 else entries.where(F.pmod(F.xxhash64("name", "id"), F.lit(shards)) == s)
         own = spark.sparkContext.broadcast(sorted((r.id, r.name) for r in part.limit(2 * shard_entries).collect()))
 
-        @F.pandas_udf(WINNER)
-        def find(values: Iterator[pd.Series], own=own) -> Iterator[pd.DataFrame]:
-            shard = Shard(own.value)
-            for batch in values:
-                won = [shard.best(phrases(v)) for v in batch]
-                yield pd.DataFrame(
-                    {
-                        "rank": [None if w is None else [w[0], int(w[1]), int(w[2]), w[3], w[4]] for w in won],
-                        "entry": [None if w is None else w[5] for w in won],
-                        "id": pd.array([None if w is None else w[6] for w in won], dtype="Int32"),
-                    }
-                )
-
-        out = out.withColumn(f"__w{s}", find(F.col(value)))
+        out = out.withColumn(f"__w{s}", F.pandas_udf(_finder(own, phrases), WINNER)(F.col(value)))
         winners.append(F.when(F.col(f"__w{s}.id").isNotNull(), F.col(f"__w{s}")))
     best = winners[0] if len(winners) == 1 else F.least(*winners)
     return out.withColumn("match", best).drop(*[f"__w{s}" for s in range(shards)])
