@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalmill.llm.address import Address, parse
+from pedalmill.llm.mixture import mix
 from pedalmill.llm.names import cluster_names, pairs_within
 from pedalmill.llm.reference_map import map_to_reference, spelling
 from pedalmill.llm.same_address import cluster_addresses
+from pedalmill.llm.tokenizer import with_ids
 from pedalmill.sources.tables import table
 
 
@@ -77,6 +79,46 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs_within(dealers, "customer_code", "dealer")
 
 
-QUERIES = {"p1_found": p1_found, "p1_map": p1_map, "p5_found": p5_found, "p7_found": p7_found}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return with_ids(table(spark, d, "documents"), "text", ["doc_id"])
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture itself, a row per block."""
+    return mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Per target: what its source has, what was used of it, and its share as reached."""
+    mixture, plans = mix(table(spark, d, "documents"), table(spark, d, "mix_target"))
+    used = mixture.groupBy("source").agg(F.sum("n_tokens").alias("used"), F.count(F.lit(1)).alias("slots"), (F.max("turn") + 1).alias("times"))
+    schema = "source string, target_share double, max_repeats int, available_tokens bigint"
+    goals = spark.createDataFrame([(p.source, p.share, p.repeats, p.tokens) for p in plans], schema)
+    total = used.agg(F.sum("used").alias("whole"))
+    return (
+        goals.join(used, "source", "left")
+        .crossJoin(F.broadcast(total))  # one row
+        .select(
+            "source",
+            "target_share",
+            "max_repeats",
+            "available_tokens",
+            F.coalesce("used", F.lit(0)).alias("used_tokens"),
+            F.coalesce("slots", F.lit(0)).alias("blocks_used"),
+            F.coalesce("times", F.lit(0)).alias("most_uses"),
+            F.coalesce(F.try_divide(F.col("used").cast("double"), F.col("whole").cast("double")), F.lit(0.0)).alias("actual_share"),
+        )
+    )
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p1_map": p1_map,
+    "p5_found": p5_found,
+    "p7_found": p7_found,
+    "p8_ids": p8_ids,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+}
 
 ORACLES: dict[str, str] = {}
