@@ -11,6 +11,7 @@ from pedalmill.llm.address import Address, parse
 from pedalmill.llm.mixture import mix
 from pedalmill.llm.names import cluster_names, pairs_within
 from pedalmill.llm.reference_map import map_to_reference, spelling
+from pedalmill.llm.residue import find_residue
 from pedalmill.llm.same_address import cluster_addresses
 from pedalmill.llm.tokenizer import with_ids
 from pedalmill.sources.tables import table
@@ -111,6 +112,15 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def p10_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """The residue documents with what was found in each."""
+    return find_residue(table(spark, d, "documents"), "doc_id", "text", "source").select("doc_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_residue(table(spark, d, "documents"), "doc_id", "text", "source").select("doc_id").distinct()
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_map": p1_map,
@@ -119,6 +129,8 @@ QUERIES = {
     "p8_ids": p8_ids,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_reasons": p10_reasons,
 }
 
 ORACLES: dict[str, str] = {}
