@@ -30,7 +30,7 @@ _FIELD = re.compile(
     | «[^\s«»][^«»\n]{0,38}(?<=\S)»    # «name»
     | \*\|[^|*\n]{1,60}\|\*            # *|name|*
     | __[^\W\d_][^\W_]*(?:_[^\W_]+)*__ # __NAME__
-    | %[^\W\d_a-z][^\Wa-z]{1,40}%      # %NAME%
+    | %[^\W\d_][\w.]{1,40}%           # %NAME%
     | %\d+\$[sdf]                      # %1$s
     | %\([^\W\d]\w*\)[sdf]             # %(name)s
     | @Model\.\w+(?:\.\w+)*            # @Model.name
@@ -60,9 +60,12 @@ _LATIN = frozenset(
 )
 _KEYS = frozenset("abc asdf asdfgh qwe qwerty xyz aaa bbb xxx test thu 123 1234 12345 foo bar blah zzz".split())
 _SAMPLE = re.compile(
-    r"^(?:(?:heading|tieu de|muc mau|dong thu|item|muc|section|doan mau|paragraph) \d+|noi dung mau|van ban giu cho|text goes here|sample text|placeholder text"
-    r"|mo ta san pham o day|(?:your )?(?:text|content|description) (?:goes )?here|(?:product )?description (?:will follow|goes here|to follow|coming soon)|coming soon"
-    r"|(?:todo|tbd|fixme)\b.*|noi dung dang (?:duoc )?cap nhat|dang cap nhat(?: noi dung)?|mo ta se (?:duoc )?(?:bo sung|cap nhat) sau|texte a venir|此处填写.*|示例文本|占位文字)[\s.!…]*$"
+    r"^(?:heading|tieu de|muc mau|dong thu|item|muc|section|doan mau|paragraph) \d+[\s.!…]*$|^(?:todo|tbd|fixme)\b|^coming soon\b|^\(?(?:trong|empty)\)? - "
+    r"|noi dung mau|doan van mau|van ban giu cho|text goes here|sample text|placeholder text|mo ta san pham o day|cho phong \w+ viet"
+    r"|^(?:trang|muc|phan|noi dung)(?: nay)? dang (?:duoc )?(?:hoan thien|soan thao|cap nhat|xay dung)|^dang (?:cap nhat|hoan thien)(?: noi dung)?[\s.!…]*$"
+    r"|(?:noi dung|(?:phan )?mo ta|thong so|hinh anh)(?: san pham)? (?:chua co\b|se (?:duoc )?(?:bo sung|cap nhat))"
+    r"|(?:content|specs?|specifications?|description|details|copy|photos?) (?:is |are |will )?(?:coming soon|to be added|follow\b|to follow|goes here|go here)"
+    r"|texte a venir|此处填写|示例文本|占位文字"
 )
 _RUN = re.compile(r"x{8,}")
 
@@ -77,14 +80,14 @@ _NOTICE = re.compile(
     | page\sintrouvable | le\slien\sest\speut-etre\srompu | service\sindisponible | reessayez\splus\stard | acces\s(?:refuse|interdit) | une\serreur\s(?:est|s'est)\s
     | 页面不存在 | 页面已被 | 服务器错误 | 网络超时 | 请稍后再试 | 无法访问 | 访问被拒绝 | 找不到 .{0,6}页
     | trang\s(?:nay\s|ban\s\w+\s)?(?:khong\ston\stai|khong\stim\sthay|da\sbi\sxoa) | khong\stim\sthay\strang | duong\sdan\s(?:sai|khong\sdung|khong\shop\sle) | (?:dia\schi|muc)\s(?:nay|can\sxem)\sda\s(?:doi\sten|bi\sxoa|khong)
-    | (?:san\spham|mat\shang)\s(?:nay\s)?(?:khong\ston\stai|da\sngung\skinh\sdoanh|da\sbi\sxoa) | khong\stai\sduoc\s(?:noi\sdung|trang|du\slieu)
-    | (?:he\sthong|dich\svu|may\schu)\s(?:dang\sban|tam\sngung|dang\sbao\stri|qua\stai|gap\ssu\sco) | xin\squay\slai\ssau | (?:website|trang\sweb|trang)\sdang\s(?:bao\stri|nang\scap)
+    | (?:san\spham|mat\shang)\s(?:nay\s)?(?:khong\ston\stai|da\sngung\skinh\sdoanh|da\sbi\s(?:xoa|go)) | khong\stai\sduoc\s(?:noi\sdung|trang|du\slieu)
+    | (?:he\sthong|dich\svu|may\schu)\s(?:dang\sban|tam\sngung|dang\sbao\stri|qua\stai|gap\ssu\sco) | xin\squay\slai\ssau | (?:website|trang\sweb|trang|cong\s\w+\s\w+|ung\sdung)\sdang\s(?:duoc\s)?(?:bao\stri|nang\scap) | dang\s(?:bao\stri|nang\scap),\s(?:du\skien|moi|xin|vui)
     | da\sxay\sra\s(?:loi|su\sco) | something\swent\swrong | co\sgi\sdo\skhong\son | an\s(?:unexpected\s)?error\s(?:has\s)?occurred | unexpected\serror
     | het\sthoi\sgian\scho | (?:ket\snoi|yeu\scau)\s(?:da\s)?qua\shan | time-?out\s(?:khi|trong|while|error) | request\stimed\sout | f5\sde\sthu\slai
     | (?:phien|your)\s(?:(?:dang\snhap|lam\sviec)\s|session\s)(?:cua\sban\s)?(?:da\shet\shan|het\shan|(?:has\s)?(?:expired|timed\sout)) | vui\slong\sdang\snhap\s(?:lai|de) | hay\sdang\snhap\sde | ^\W*log\sin\sagain | please\s(?:log|sign)\sin
     | rate\slimit\s(?:reached|exceeded) | too\smany\srequests | slow\sdown\sand\stry | ban\sthao\stac\squa\snhanh | ^\W*thu\slai\ssau\s\d+\sgiay | ^\W*retry\safter\s\d
     | truy\scap\s(?:da\s)?bi\s(?:tu\schoi|chan)(?!\s(?:o|tai|nen)\b) | yeu\scau\s(?:cua\sban\s)?(?:da\s)?bi\s(?:chan|tu\schoi) | access\s(?:is\s)?denied | ^\W*forbidden\b | permission\sdenied
-    | checking\syour\sbrowser | verify(?:ing)?\s(?:that\s)?you\sare\s(?:a\s)?human | dang\skiem\stra\strinh\sduyet | xac\s(?:minh|nhan)\s(?:rang\s)?ban\s(?:la\snguoi|khong\sphai) | nhap\sma\strong\shinh | khong\sphai\s(?:la\s)?(?:robot|nguoi\smay) | complete\sthe\scaptcha | 请验证 | 人机验证
+    | checking\syour\sbrowser | verify(?:ing)?\s(?:that\s)?you\sare\s(?:a\s)?human | dang\skiem\stra\strinh\sduyet | xac\s(?:minh|nhan)\s(?:rang\s)?ban\s(?:la\snguoi|khong\sphai) | nhap\sma\strong\shinh | danh\sdau\svao\so\s | tick\sthe\sbox | khong\sphai\s(?:la\s)?(?:robot|nguoi\smay) | complete\sthe\scaptcha | 请验证 | 人机验证
     | traceback\s\(most\srecent | ^\W*file\s['"]?\S+\.py['"]?,\sline\s\d | \b(?:fatal\serror|uncaught\sexception|parse\serror)\b | ^\W*(?:warning|notice):\s | undefined\s(?:index|variable|offset) | \bon\sline\s\d+\s*\W*$
     | nullreferenceexception | \bjava\.[a-z]+\.\w+ | \b\w+(?:exception|error):\s | stack\somitted | server\serror\sin\s | cannot\sconnect\sto\s(?:the\s)?database | object\sreference\s(?:is|not) | out\sof\smemory\sin\s
     | \b(?:enable|turn\son|allow|activate|switch\son|activez|activer|autoriser)\s(?:java\s?script|scripts?\b|js\b)
@@ -147,9 +150,12 @@ def _filler(sentence: str) -> bool:
         keys = keys + 1 if w in _KEYS else 0
         if latin >= 4 or keys >= 4:
             return True
-    if 1 <= len(words) <= 3 and all(w in _LATIN for w in words) and len(words) > 1:
+    if 1 < len(words) <= 3 and all(w in _LATIN for w in words):
         return True
-    return bool(_SAMPLE.match(sentence) or _RUN.search(sentence))
+    letters = [w for w in words if not w.isdigit()]
+    if len(letters) >= 6 and len(set(letters)) <= 3:
+        return True
+    return bool(_SAMPLE.search(sentence) or _RUN.search(sentence))
 
 
 def strong_reasons(text: str | None) -> list[str]:
