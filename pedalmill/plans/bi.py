@@ -131,11 +131,11 @@ def report_signals(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (bi_revenue_trend, bi_product_analysis, bi_customer_rfm, bi_geo_analysis, bi_operational_kpis, month_growth, report_signals)}
 
 _P = f"with {FACT_SQL}, f as (select * from fact where order_date between date '{DATE_FROM}' and date '{DATE_TO}')"
-_TREND = "select fiscal_year, fiscal_month, count(distinct so_number) as order_count, count(distinct customer_code) as active_customer_count, sum(quantity)::double as total_qty, sum(line_total)::double as total_revenue, round(sum(unit_price)::double / count(unit_price), 4) as avg_unit_price from f group by 1, 2"
+_TREND = "select fiscal_year, fiscal_month, count(distinct so_number) as order_count, count(distinct customer_code) as active_customer_count, sum(quantity)::double as total_qty, sum(line_total)::double as total_revenue, sum(unit_price)::double / count(unit_price) as avg_unit_price from f group by 1, 2"
 _PRODUCT = """select coalesce(g, 'UNKNOWN') as group_code, sku_count, order_count, total_qty, total_revenue, avg_unit_price,
     round(total_revenue / sum(total_revenue) over (), 6) as revenue_share from (
     select case when group_code <> 'PROMO' then group_code end as g, count(distinct product_code) as sku_count, count(distinct so_number) as order_count,
-           sum(quantity)::double as total_qty, sum(line_total)::double as total_revenue, round(sum(unit_price)::double / count(unit_price), 4) as avg_unit_price from f group by 1) x"""
+           sum(quantity)::double as total_qty, sum(line_total)::double as total_revenue, sum(unit_price)::double / count(unit_price) as avg_unit_price from f group by 1) x"""
 
 ORACLES = {
     "bi_revenue_trend": f"{_P} {_TREND}",

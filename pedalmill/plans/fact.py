@@ -88,9 +88,9 @@ def dsum(column: str) -> F.Column:
     return F.sum(column).cast("double")
 
 
-def davg(column: str, places: int = 4) -> F.Column:
-    """Mean of a decimal column from its exact sum, rounded."""
-    return F.round(F.sum(column).cast("double") / F.count(column), places)
+def davg(column: str) -> F.Column:
+    """Mean of a decimal column from its exact sum."""
+    return F.sum(column).cast("double") / F.count(column)
 
 
 def fact_sales_build(spark: SparkSession, d: str) -> DataFrame:
