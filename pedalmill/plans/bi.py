@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from pedalmill.operators.global_rank import global_row_number, ntile
 from pedalmill.plans.fact import FACT_SQL, davg, dsum, fact_sales
+from pedalmill.session import cut
 
 #: The period asked about.
 DATE_FROM, DATE_TO = "1996-01-01", "2000-12-31"
@@ -72,6 +73,7 @@ def bi_customer_rfm(spark: SparkSession, d: str) -> DataFrame:
         .withColumn("recency_days", F.datediff(F.lit(DATE_TO).cast("date"), F.col("last_order_date")))
         .crossJoin(F.broadcast(in_period(fact_sales(spark, d)).agg(F.countDistinct("customer_code").alias("n"))))  # one row
     )
+    base = cut(base)  # ranked three times
     for key, desc, score in (("recency_days", True, "recency_score"), ("frequency", False, "frequency_score"), ("monetary", False, "monetary_score")):
         base = global_row_number(base, [(key, desc), ("customer_code", False)]).withColumn(score, ntile(F.col("rn"), F.col("n"), 5)).drop("rn")
     scored = base.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")).drop("n")

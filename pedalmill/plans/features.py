@@ -8,6 +8,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from pedalmill.operators.global_rank import global_row_number, quantile_bin
 from pedalmill.plans.fact import FACT_SQL, davg, dsum, fact_sales, orders
+from pedalmill.session import cut
 from pedalmill.sources.tables import table
 
 _MONTHS = ["fiscal_year", "fiscal_month"]
@@ -159,7 +160,7 @@ def scored_customers(spark: SparkSession, d: str) -> DataFrame:
     """Quintiles of ranks, first come first in ties (by customer_code); rfm_score is 3 to 15."""
     c = features_of_customers(spark, d)
     n = fact_sales(spark, d).agg(F.countDistinct("customer_code").alias("n"))
-    c = c.crossJoin(F.broadcast(n))  # one row
+    c = cut(c.crossJoin(F.broadcast(n)))  # n is one row; ranked three times
     for key, name in (("days_since_last_order", "recency_score"), ("order_frequency", "frequency_score"), ("total_revenue", "monetary_score")):
         c = global_row_number(c, [(key, False), ("customer_code", False)]).withColumn(name, quantile_bin(F.col("rn"), F.col("n"), 5)).drop("rn")
     return c.drop("n").withColumn("rfm_score", 6 - F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score"))
