@@ -32,14 +32,14 @@ def _units() -> list[str]:
     return sorted(out)
 
 
-def csv_values(line: Column) -> tuple[Column, Column]:
+def csv_values(parts: Column) -> tuple[Column, Column]:
     """(broken quoting?, values) of one comma-separated record whose values may be quoted by ``"``.
 
-    The text is cut at its quotes: pieces 1, 3, 5... are inside quotes, an empty piece between two of
+    ``parts`` is the column that holds the text cut at its quotes, a column of its own so that it is cut once:
+    pieces 1, 3, 5... are inside quotes, an empty piece between two of
     them is a doubled quote, and all other pieces outside must begin and end at a comma or the line's
     ends. So a line is read in one pass of array functions however long it is.
     """
-    parts = F.split(line, '"', -1)
     last = F.size(parts) - 1
 
     def outside_ok(x: Column, i: Column) -> Column:
@@ -60,9 +60,8 @@ def csv_values(line: Column) -> tuple[Column, Column]:
     return broken, F.transform(F.split(joined, _CUT, -1), _strip)
 
 
-def text_values(line: Column) -> tuple[Column, Column]:
-    """(wrong shape?, values) of one line of text: stt, code, name of one or more words, unit, three values."""
-    words = F.split(line, f"{_WS}+", -1)
+def text_values(words: Column) -> tuple[Column, Column]:
+    """(wrong shape?, values) of one line of text, its words: stt, code, name of one or more words, unit, three values."""
     flags = F.transform(words, lambda w: F.lower(w).isin(_units()))
     # 1-based place of the last unit; 0 where there is none
     place = F.when(F.exists(flags, lambda f: f), F.size(words) + 1 - F.array_position(F.reverse(flags), True)).otherwise(0).cast("int")
@@ -98,9 +97,10 @@ def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Col
     """
     base = rows.select(*[c.alias(f"k_{n}") for n, c in keep.items()], _strip(raw).alias("line"), F.coalesce(is_csv, F.lit(False)).alias("csv"))
     empty = F.coalesce(F.col("line"), F.lit("")) == ""
-    quoting, csv = csv_values(F.col("line"))
-    wrong, words = text_values(F.col("line"))
-    seen = base.withColumn("x", F.when(~empty & F.col("csv"), F.struct(quoting.alias("q"), csv.alias("v")))).withColumn(
+    cut = base.withColumns({"parts": F.when(F.col("csv"), F.split("line", '"', -1)), "words": F.when(~F.col("csv"), F.split("line", f"{_WS}+", -1))})
+    quoting, csv = csv_values(F.col("parts"))
+    wrong, words = text_values(F.col("words"))
+    seen = cut.withColumn("x", F.when(~empty & F.col("csv"), F.struct(quoting.alias("q"), csv.alias("v")))).withColumn(
         "t", F.when(~empty & ~F.col("csv"), F.struct(wrong.alias("w"), words.alias("v")))
     )
     shape = (
