@@ -97,7 +97,11 @@ def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Col
     """
     base = rows.select(*[c.alias(f"k_{n}") for n, c in keep.items()], _strip(raw).alias("line"), F.coalesce(is_csv, F.lit(False)).alias("csv"))
     empty = F.coalesce(F.col("line"), F.lit("")) == ""
-    cut = base.withColumns({"parts": F.when(F.col("csv"), F.split("line", '"', -1)), "words": F.when(~F.col("csv"), F.split("line", f"{_WS}+", -1))})
+    # The row number is never asked for. A filter cannot be moved below a step with a column like it, so the cut
+    # texts stay columns; moved, the filter would cut a text anew for each of its pieces.
+    cut = base.withColumns(
+        {"parts": F.when(F.col("csv"), F.split("line", '"', -1)), "words": F.when(~F.col("csv"), F.split("line", f"{_WS}+", -1)), "row": F.monotonically_increasing_id()}
+    ).withColumn("csv", F.col("csv") & (F.col("row") >= 0))
     quoting, csv = csv_values(F.col("parts"))
     wrong, words = text_values(F.col("words"))
     seen = cut.withColumn("x", F.when(~empty & F.col("csv"), F.struct(quoting.alias("q"), csv.alias("v")))).withColumn(
