@@ -200,8 +200,9 @@ def page_evidence(text: str | None) -> tuple[int | None, int | None]:
 def _look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         rows = [(strong_reasons(t), *page_evidence(t)) for t in texts]
-        out = pd.DataFrame(rows, columns=["reasons", "body", "title"])
-        yield out.astype({"body": "Int64", "title": "Int64"})
+        # made as integers from the start: a column with gaps would else go through floats and lose digits
+        body, title = (pd.array([r[k] for r in rows], dtype="Int64") for k in (1, 2))
+        yield pd.DataFrame({"reasons": [r[0] for r in rows], "body": body, "title": title})
 
 
 def find_residue(rows: DataFrame, ident: str, text: str, host: str, copies: int = COPIES) -> DataFrame:
