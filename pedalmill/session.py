@@ -44,3 +44,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint, which survives the loss of executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input is in fewer pieces than there are cores, else as it is.
+
+    For costly row-by-row work on small inputs: then their rows cost less to move than to wait for. The
+    number of pieces is known from the plan; no job runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
