@@ -11,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalmill.session import cut, spread
+
 _MARKS = re.compile("[̀-ͯ]")
 _INVISIBLE = re.compile("[﻿​‌‍⁠­]")
 _SPACES = re.compile("[ \t\x0b\x0c   -   　]+")
@@ -214,10 +216,12 @@ def find_residue(rows: DataFrame, ident: str, text: str, host: str, copies: int
     blank texts have no reasons. Repeated rows come out as often as they come in. Only such bodies' hashes
     are counted, combined before the shuffle; hosts may be null.
     """
-    seen = rows.select(F.col(ident).alias("id"), F.col(host).alias("host"), F.col(text).alias("text")).withColumn(
+    narrow = spread(rows.select(F.col(ident).alias("id"), F.col(host).alias("host"), F.col(text).alias("text")))
+    seen = narrow.withColumn(
         "r", F.pandas_udf(_look, "struct<reasons:array<string>,body:bigint,title:bigint>")("text")
     )
-    seen = seen.select("id", "host", "r.*").where((F.size("reasons") > 0) | F.col("body").isNotNull())
+    # what was found is a small part of the rows and used twice; the texts are looked at once
+    seen = cut(seen.select("id", "host", "r.*").where((F.size("reasons") > 0) | F.col("body").isNotNull()))
     shared = (
         seen.where("body is not null")
         .groupBy("host", "body", "title")
