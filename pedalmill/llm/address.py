@@ -18,6 +18,8 @@ NUMBER_MARKS = {"số", "số nhà", "sn", "nhà"}
 NOT_PLACES = {"kho", "địa chỉ", "dc", "đc", "việt nam", "vn", "vietnam"}
 
 _PHONE = re.compile(r"\b(?:sdt|dt|tel|fax|phone|mobile|hotline|dien thoai|so dien thoai)\b\s*[.:]*\s*\+?\d[\d .()-]{5,}.*$", re.S)
+# Notes for the driver, often without a separator before them.
+_NOTE = re.compile(r"\b(?:cong (?:sau|truoc|chinh)|gan cho|gui xe khach|giao gio hanh chinh)\b")
 _LEFT = re.compile(r"\(\s*(?:truoc|cu\s*:|nguyen la|ten cu)[^)]*\)?")
 _NOW = re.compile(r"\bnay\s+(?:la|thuoc)\b")
 _OLD = re.compile(r"\(\s*cu\s*\)")
@@ -124,6 +126,7 @@ def parse(text: str | None, names: frozenset[str] = frozenset(), dotted: frozens
     low, flat = _fold(text)
     if m := _PHONE.search(flat):
         low, flat = low[: m.start()], flat[: m.start()]
+    low, flat = _cut(low, flat, _NOTE)
     low, flat = _cut(low, flat, _LEFT)
     old: list[tuple[str, str, bool]] = []
     now = _NOW.search(flat)
@@ -224,10 +227,14 @@ def parse(text: str | None, names: frozenset[str] = frozenset(), dotted: frozens
         if kind == "none":
             flush()
             i += size
+            tokens[i - 1] = (",", ",", False)  # what follows begins a part
             continue
         if kind == "number":
             i += size
             continue
+        if end - i == 2 and tokens[i + 1][1].isdigit() and (found := _slipped(tokens[: i + 1], i)) and found[0] in ("ward", "district"):
+            i += 2
+            continue
         # a mark with a slip at the start of a part of three words or more
         if (i == 0 or tokens[i - 1][0] == ",") and end - i >= 3 and (found := _slipped(tokens, i)):
             flush()
