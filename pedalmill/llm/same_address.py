@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pedalmill.llm.address import Address
 from pedalmill.llm.components import connected_components
 from pedalmill.llm.names import KNOWN_SHARE, Speller, best_links, known_syllables, near
+from pedalmill.session import cut
 
 # Short forms of the words before a street's name and the word they stand for.
 ABBREVIATIONS = {"d": "duong", "duong": "duong", "pho": "pho", "th": "thon", "thon": "thon", "xom": "xom", "ap": "ap", "ngo": "ngo", "hem": "hem", "n": "duong"}
@@ -106,6 +107,7 @@ def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str
         .select("id", "province", "p.*")
         .where((F.col("number") != "") & (F.size("words") > 0))
     )
+    parts = cut(parts)  # read once for the syllables and once for the streets
     shared = spark.sparkContext.broadcast(known_syllables(parts, share))  # at most 1 / share entries
 
     def spell(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -119,6 +121,7 @@ def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str
 
     spelt = parts.withColumn("s", F.pandas_udf(spell, "struct<street:array<string>,slip:boolean,bands:array<bigint>>")("words"))
     spelt = spelt.select("id", "province", "number", "mark", "s.*").withColumn("rep", F.concat_ws("|", F.col("province").cast("string"), "number", F.array_join("street", " ")))
+    spelt = cut(spelt)  # used three times
     reps = spelt.groupBy("rep").agg(
         F.first("province").alias("province"), F.first("number").alias("number"), F.min("mark").alias("mark"), F.first("street").alias("street"), F.first("slip").alias("slip"), F.first("bands").alias("bands")
     )  # equal for equal reps but the mark, of which the least is taken
