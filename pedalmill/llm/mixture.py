@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pedalmill.llm.tokenizer import VOCABULARY, with_ids
-from pedalmill.session import cut
+from pedalmill.session import cut, spread
 
 #: Tokens of a block.
 BLOCK_TOKENS = 256
@@ -160,7 +160,7 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK_T
     if len(goals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources have a target")
     listed = docs.select("doc_id", "source", "text").where(F.col("source").isin([g[0] for g in goals]) & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    placed = token_offsets(cut(with_ids(listed, "text", ["doc_id", "source"], vocabulary=vocabulary)), chunks)
+    placed = token_offsets(cut(with_ids(spread(listed), "text", ["doc_id", "source"], vocabulary=vocabulary)), chunks)
     sizes = {r.source: r.n for r in placed.groupBy("source").agg(F.sum("n").alias("n")).collect()}  # at most MAX_SOURCES rows
     plans = plan_slots(goals, sizes, block, total)
     blocks = {p.source: p.blocks for p in plans}

@@ -14,6 +14,7 @@ from pedalmill.llm.reference_map import map_to_reference, spelling
 from pedalmill.llm.residue import find_residue
 from pedalmill.llm.same_address import cluster_addresses
 from pedalmill.llm.tokenizer import with_ids
+from pedalmill.session import spread
 from pedalmill.sources.tables import table
 
 
@@ -41,7 +42,7 @@ def placed_customers(spark: SparkSession, d: str) -> tuple[DataFrame, partial[Ad
     """staging_customer with the province found in its address (found_id, 0 where none), and the parser."""
     provinces = _provinces(spark, d)
     read = _reader(provinces)
-    rows = table(spark, d, "staging_customer").select("customer_code", "address", "province_id", "created_at")
+    rows = spread(table(spark, d, "staging_customer").select("customer_code", "address", "province_id", "created_at"))
     found = map_to_reference(rows, "address", provinces, partial(_phrases, read))
     return found.withColumn("found_id", F.coalesce("match.id", F.lit(0))), read
 
@@ -81,7 +82,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return with_ids(table(spark, d, "documents"), "text", ["doc_id"])
+    return with_ids(spread(table(spark, d, "documents").select("doc_id", "text")), "text", ["doc_id"])
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
