@@ -74,3 +74,39 @@ def parse_flag(text: Column, default: bool) -> Column:
     """true, 1, yes, y, t and their contraries; ``default`` for all else."""
     low = F.lower(F.trim(text))
     return F.when(low.isin("true", "1", "yes", "y", "t"), True).when(low.isin("false", "0", "no", "n", "f"), False).otherwise(default)
+
+
+def first_match(texts: list[Column], pattern: str, group: int = 0) -> Column:
+    """What ``pattern`` finds in the first of ``texts`` that has it; null where none does."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(t, pattern, group), F.lit("")) for t in texts])
+
+
+def order_number(texts: list[Column]) -> Column:
+    """The order number that the first of ``texts`` names, as BHyy.digits."""
+    return F.translate(F.upper(first_match(texts, "(?i)BH[0-9]{2}[._-][0-9]{4,8}")), "_-", "..")
+
+
+def tax_code(text: Column) -> Column:
+    return first_match([text], "(?i)\\bMST\\s*[:\\-]?\\s*([0-9]{8,15})\\b", 1)
+
+
+def labelled(text: Column, labels: list[str], stops: list[str]) -> Column:
+    """The shortest text after one of ``labels`` and a colon, up to one of ``stops``, a line's end or the end; white
+    space squeezed, null where there is none. Labels and stops are plain words, compared without case."""
+    ends = "|".join([*(f"\\b{s}\\s*:" for s in stops), "\\n", "$"])
+    found = F.array(*[F.nullif(clean(F.regexp_extract(text, f"(?iu)\\b{w}\\s*:\\s*(.*?)\\s*(?:{ends})", 1)), F.lit("")) for w in labels])
+    return F.try_element_at(F.array_sort(F.filter(found, lambda x: x.isNotNull()), lambda a, b: F.length(a) - F.length(b)), F.lit(1))
+
+
+def safe_filename(name: Column) -> Column:
+    return F.regexp_replace(name, '[<>:"/\\\\|?*\\x00-\\x1f]', "_")
+
+
+def money_text(value: Column) -> Column:
+    """Rounded half up, thousands set off; '' for null."""
+    return F.coalesce(F.format_number(F.round(value, 0).cast("decimal(38,0)"), 0), F.lit(""))
+
+
+def records(*columns: str) -> Column:
+    """An aggregate: the rows of a group as a JSON array of objects, ordered by their values. For small groups."""
+    return F.to_json(F.array_sort(F.collect_list(F.struct(*columns))))

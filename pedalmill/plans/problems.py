@@ -138,7 +138,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_loaded(spark: SparkSession, d: str) -> DataFrame:
     """The lines that can be read, with typed values."""
-    return split_rows(_read(spark, d))[0]
+    sound = split_rows(_read(spark, d))[0]
+    return sound.withColumns({c: F.col(c).cast("double") for c in ("quantity", "unit_price", "line_total")})
 
 
 def _skewed(spark: SparkSession, d: str) -> list[tuple[str, str, DataFrame]]:
@@ -180,22 +181,21 @@ with raw as (
 w as (select *, regexp_split_to_array(line, '[\\s\\x{{A0}}\\x{{3000}}]+') as words from raw where record_type = 'order_line' and coalesce(line, '') <> ''),
 u as (select *, list_transform(words, lambda x: lower(x) in ({_P4_UNITS}) or lower(x) in ('chiec', 'cai', 'bo', 'cap', 'thung', 'hop', 'cay')) as flags from w),
 p as (select *, case when list_contains(flags, true) then len(words) + 1 - list_position(list_reverse(flags), true) else 0 end as place from u),
-t as (select fail_id, place < 4 or len(words) - place <> 3 as wrong,
+t as (select fail_id, place < 4 or len(words) - place <> 3 as wrong, list_aggregate(words[3:place - 1], 'string_agg', ' ') as name, words[place] as unit,
              words[1] as stt, words[2] as code, words[place + 1] as q, words[place + 2] as up, words[place + 3] as lt from p),
 c as (select fail_id, line, regexp_matches(line, '^(?:\\s*"(?:[^"]|"")*"\\s*|[^",]*)(?:,(?:\\s*"(?:[^"]|"")*"\\s*|[^",]*))*$') as fine,
              list_transform(regexp_extract_all(',' || line, ',(\\s*"(?:[^"]|"")*"\\s*|[^",]*)', 1),
                             lambda x: trim(replace(regexp_replace(regexp_replace(x, '^\\s*"', ''), '"\\s*$', ''), '""', '"'), chr(32) || chr(9) || chr(10) || chr(13) || chr(160) || chr(65279))) as v
       from raw where record_type = 'staging_line' and coalesce(line, '') <> ''),
-v as (select fail_id, case when wrong then 'COLUMN_COUNT' end as shape, stt, code, q, up, lt from t
+v as (select fail_id, case when wrong then 'COLUMN_COUNT' end as shape, stt, code, name, unit, q, up, lt from t
       union all
-      select fail_id, case when not fine then 'QUOTING' when len(v) <> 7 then 'COLUMN_COUNT' end, v[1], v[2], v[5], v[6], v[7] from c
+      select fail_id, case when not fine then 'QUOTING' when len(v) <> 7 then 'COLUMN_COUNT' end, v[1], v[2], v[3], v[4], v[5], v[6], v[7] from c
       union all
-      select fail_id, 'EMPTY', null, null, null, null, null from raw where coalesce(line, '') = ''),
+      select fail_id, 'EMPTY', null, null, null, null, null, null, null from raw where coalesce(line, '') = ''),
 f as (select *, coalesce(regexp_matches(stt, '^0*[1-9][0-9]*$') and regexp_matches(code, '^[A-Z0-9.]{{8,25}}$')
              and regexp_matches(q, '^[0-9]{{1,5}}([.,][0-9]{{1,2}})?$') and regexp_matches(q, '[1-9]')
              and regexp_matches(up, '^([0-9]+|[0-9]{{1,3}}(\\.[0-9]{{3}})+)$')
              and regexp_matches(lt, '^([0-9]+|[0-9]{{1,3}}(\\.[0-9]{{3}})+)$') and regexp_matches(lt, '[1-9]'), false) as good from v)
-select fail_id, coalesce(shape, 'BAD_VALUE') as reason from f where shape is not null or not good
 """.replace("\\\\", "\\")
 
 
@@ -222,7 +222,9 @@ ORACLES = {
     "p2_found": _orphan_sql("ref_table, ref_field, row_id", ""),
     "p2_report": _orphan_sql("ref_table, ref_field, strftime(at_, '%Y-%m') as month, why, count(*) as n_orphans", "group by 1, 2, 3, 4"),
     "p3_rolling": P3_SQL,
-    "p4_found": _P4_SQL,
+    "p4_found": f"{_P4_SQL} select fail_id, coalesce(shape, 'BAD_VALUE') as reason from f where shape is not null or not good",
+    "p4_loaded": f"""{_P4_SQL} select fail_id, record_type, stt::bigint as stt, code as product_code, name, unit, replace(q, ',', '.')::double as quantity,
+        replace(up, '.', '')::double as unit_price, replace(lt, '.', '')::double as line_total from f join raw using (fail_id) where shape is null and good""",
     "p6_found": f"""
         select ref_table, ref_field, key_value from (
             select *, sum(n_rows) over (partition by ref_table) as whole from ({_totals_sql()}) t) x

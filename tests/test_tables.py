@@ -5,7 +5,7 @@ from email.message import EmailMessage
 import pytest
 from pyspark.sql import functions as F
 
-from pedalmill.functions.text import clean, clean_lines, normalize, parse_flag, strip_html
+from pedalmill.functions.text import clean, clean_lines, labelled, money_text, normalize, order_number, parse_flag, records, safe_filename, strip_html, tax_code
 from pedalmill.operators.upsert import dedup, delete_keys, duplicates, insert_ignore, update_from, upsert
 from pedalmill.sources.csv_io import export_csv, read_csv, write_csv
 from pedalmill.sources.mail import read_mail
@@ -77,6 +77,16 @@ class TestFiles:
         assert tuple(two) == ("", "", "", "", False)
 
 
+    def test_extraction(self, spark):
+        body = "Khách hàng: CTY  Nga Bách\nĐịa chỉ: 12 Loan Lộc, Hà Lam MST: 0101234567\nĐịa chỉ: Kho 12 Loan Lộc, Hà Lam"
+        df = spark.createDataFrame([("Fwd: đơn", body, "bh24_00000012.pdf", 1234567.5), (None, None, None, None)], "subject string, body string, file string, m double")
+        cols = [order_number([F.col("subject"), F.col("body"), F.col("file")]), tax_code(F.col("body")), labelled(F.col("body"), ["Khách hàng"], ["MST"]), labelled(F.col("body"), ["Địa chỉ", "Nơi nhận"], ["MST"]), money_text(F.col("m")), safe_filename(F.col("file"))]
+        one, two = df.select(*[c.alias(f"c{i}") for i, c in enumerate(cols)]).collect()
+        assert tuple(one) == ("BH24.00000012", "0101234567", "CTY Nga Bách", "12 Loan Lộc, Hà Lam", "1,234,568", "bh24_00000012.pdf")
+        assert tuple(two) == (None, None, None, None, "", None)
+        assert spark.range(2).agg(records("id").alias("j")).first().j == '[{"id":0},{"id":1}]'
+
+
 class TestStore:
     def test_versions(self, spark, tmp_path):
         s = TableStore(spark, str(tmp_path / "s"))
