@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,6 +83,14 @@ def elbow(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(k, c, k == knee) for k, c in costs], "k int, cost double, knee boolean")
 
 
+def rfm_pca(spark: SparkSession, d: str) -> DataFrame:
+    """Customers on the three principal axes of their scaled features."""
+    z = [f"z_{c}" for c in ("recency_days", "log_frequency", "log_monetary")]
+    frame = cut(VectorAssembler(inputCols=z, outputCol="features").transform(rfm_features(spark, d).na.fill(0.0, z)))
+    axes = vector_to_array("pc")
+    return PCA(k=3, inputCol="features", outputCol="pc").fit(frame).transform(frame).select("customer_code", *[axes[i].alias(f"pc{i + 1}") for i in range(3)])
+
+
 def churn_model(spark: SparkSession, d: str) -> DataFrame:
     """Probability of no order in 30 days. The label is a function of one feature, as in the practice this
     follows, so the model tells how features go with recency and no more."""
@@ -136,7 +144,7 @@ def bgnbd_forecast(spark: SparkSession, d: str) -> DataFrame:
     return both.select("customer_code", F.round("p_alive", 6).alias("p_alive"), F.round("expected_30", 6).alias("expected_30"), F.round("expected_7", 6).alias("expected_7"), segment.alias("segment"), F.bround(p * e, 4).alias("priority"))
 
 
-QUERIES = {f.__name__: f for f in (churn_heuristic, churn_priority, rfm_kmeans, rfm_segment_names, elbow, churn_model, demand_model_zoo, bgnbd_forecast)}
+QUERIES = {f.__name__: f for f in (churn_heuristic, churn_priority, rfm_kmeans, rfm_segment_names, elbow, rfm_pca, churn_model, demand_model_zoo, bgnbd_forecast)}
 
 _SCORE = """round(least(1, greatest(0, least(1, greatest(0, days_since_last_order / 180)) * 0.55::double + (1 - least(1, greatest(0, order_frequency / 6))) * 0.20::double
     + case when revenue_trend < 0 then least(1, abs(revenue_trend)) * 0.20::double else 0 end + (1 - least(1, greatest(0, rfm_score / 15))) * 0.05::double)), 6)"""
