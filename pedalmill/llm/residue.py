@@ -64,7 +64,7 @@ _KEYS = frozenset("abc asdf asdfgh qwe qwerty xyz aaa bbb xxx test thu 123 1234
 _SAMPLE = re.compile(
     r"^(?:heading|tieu de|muc mau|dong thu|item|muc|section|doan mau|paragraph) \d+[\s.!…]*$|^(?:todo|tbd|fixme)\b|^coming soon\b|^\(?(?:trong|empty)\)? - "
     r"|noi dung mau|doan van mau|van ban giu cho|text goes here|sample text|placeholder text|mo ta san pham o day|cho phong \w+ viet"
-    r"|^(?:trang|muc|phan|noi dung)(?: nay)? dang (?:duoc )?(?:hoan thien|soan thao|cap nhat|xay dung)|^dang (?:cap nhat|hoan thien)(?: noi dung)?[\s.!…]*$"
+    r"|^(?:trang|muc|phan|noi dung)(?: nay)? dang (?:duoc )?(?:hoan thien|soan thao|cap nhat|xay dung)|^\W*(?:\w+ ){1,3}dang (?:duoc )?bien soan\b|^\W*(?:\w+ ){1,4}se (?:duoc )?(?:bo sung|cap nhat) sau\b|^dang (?:cap nhat|hoan thien)(?: noi dung)?[\s.!…]*$"
     r"|(?:noi dung|(?:phan )?mo ta|thong so|hinh anh)(?: san pham)? (?:chua co\b|se (?:duoc )?(?:bo sung|cap nhat))"
     r"|(?:content|specs?|specifications?|description|details|copy|photos?) (?:is |are |will )?(?:coming soon|to be added|follow\b|to follow|goes here|go here)"
     r"|texte a venir|此处填写|示例文本|占位文字"
@@ -95,18 +95,19 @@ _NOTICE = re.compile(
     | \b(?:enable|turn\son|allow|activate|switch\son|activez|activer|autoriser)\s(?:java\s?script|scripts?\b|js\b)
     | \b(?:java\s?script|scripting|scripts?|js)\s(?:is|are|seems|appears|seem|appear)\s(?:to\sbe\s)?(?:required|off|disabled|blocked|needed|turned\soff)
     | (?:will\snot\sload|works?\s(?:best|only)|does\snot\swork)\s(?:with(?:out)?|unless|if)\s(?:java\s?script|scripts?|js)\b | \(scripts?\s(?:is|are)\srequired\) | \bnoscript\b
-    | (?:trinh\sduyet|browser)\s(?:cua\sban\s|nay\s|dang\s)*(?:khong\sho\stro|chua\sbat|da\stat|chan)\s(?:java\s?script|script|ma\schay) | kiem\stra\sda\sbat\sjava\s?script
-    | (?:bat|mo|kich\shoat|cho\sphep)\s(?:java\s?script|script)\s(?:tren|roi|de|trong) | ^\W*(?:vui\slong|xin|xin\shay|hay|ban\scan)\s(?:hay\s)?(?:bat|mo|kich\shoat|cho\sphep)\s(?:java\s?script|script)
+    | (?:trinh\sduyet|browser)\s(?:cua\sban\s|nay\s|dang\s)*(?:khong\sho\stro|chua\sbat|da\stat|chan)\s(?:java\s?script|script|ma\schay|ma\skich\sban) | kiem\stra\sda\sbat\sjava\s?script
+    | (?:bat|mo|kich\shoat|cho\sphep)\s(?:java\s?script|script)\s(?:tren|roi|de|trong) | ^\W*(?:vui\slong|xin|xin\shay|hay|ban\scan)\s(?:hay\s)?(?:bat|mo|kich\shoat|cho\sphep)\s(?:java\s?script|script|ma\skich\sban|ma\schay)
     | (?:启用|需要开启|开启|打开)\s?java\s?script | trinh\sduyet\skhong\sho\stro\sjava
     """,
     re.X,
 )
 # By these a sentence tells of such text rather than being it.
 _TOLD = re.compile(
-    r"mau thu|ky hieu|in chu|form prints|fix the form|field is blank|may tu dien|sua mau|phai duoc thay|giu nguyen|placeholder|merge field"
-    r"|it worked|works? again|last week|so we |so they |phone the order|da huong dan|da giai thich|nghia la gi|nhap giup|xem giup|in lai giup|bat lai\b|da cap lai|asked whether|vao lai duoc"
-    r"|bao loi|nen tho |ghi tay|gave error|phai gui don|ben toi|khach (?:gui|hoi|noi|bao)|dai ly (?:hoi|bao|noi)|tho hoi|our (?:form|site|portal)|the dealer|a dealer|the old tablet"
+    r"it worked|works? again|last week|so we |so they |phone the order|da huong dan|da giai thich|nghia la gi|nhap giup|xem giup|in lai giup|bat lai\b|da cap lai|asked whether|vao lai duoc"
+    r"|bao loi|nen tho |ghi tay|gave error|phai gui don"
 )
+# By these a sentence explains a template's field.
+_EXPLAINED = re.compile(r"mau thu|ky hieu|in chu|form prints|fix the form|field is blank|may tu dien|sua mau|phai duoc thay|giu nguyen|placeholder|merge field")
 _WEAK = re.compile(r"rat tiec|xin loi|sorry|oops|\boi[.!…]|thu lai|try again|quay lai|back to home|quay ve trang chu|loading|please wait|dang tai|xin cho|moi ban")
 # Lines of a page's frame.
 _FRAME = re.compile(r"^(?:home > .*|menu\b.*|dang nhap . dang ky|hotline .*|© .*|trang chu \| .*)$")
@@ -167,14 +168,14 @@ def strong_reasons(text: str | None) -> list[str]:
     whole = unquoted(tidy(text))
     found: list[str] = []
     fields = [s for s in _SENTENCE.split(whole) if _FIELD.search(s)]
-    if any(not _TOLD.search(plain(_FIELD.sub(" ", s))) for s in fields):
+    if any(not _EXPLAINED.search(plain(_FIELD.sub(" ", s))) for s in fields):
         found.append("FIELD")
     low = plain(whole)
     for s in _SENTENCE.split(low):
         s = s.strip()
         if not s:
             continue
-        if "FIELD" not in found and _FILL_IN.search(s) and not _TOLD.search(_FILL_IN.sub(" ", s)):
+        if "FIELD" not in found and _FILL_IN.search(s) and not _EXPLAINED.search(_FILL_IN.sub(" ", s)):
             found.append("FIELD")
         if "EMPTY_VALUE" not in found and _EMPTY.search(s) and not _TOLD.search(s):
             found.append("EMPTY_VALUE")
