@@ -12,6 +12,7 @@ from pedalmill.operators.global_rank import global_row_number
 from pedalmill.plans.features import COLOR_SQL, GROUP_SQL, PANEL_SQL, by_sku, color_monthly, group_monthly, panel
 from pedalmill.session import cut
 
+# Fixed values of the forecasts.
 #: Weights of the current month in the exponential averages tried, and the one the forecast uses.
 ALPHAS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 ALPHA = 0.3

@@ -20,6 +20,7 @@ from pedalmill.plans.features import SCORED_SQL, bgnbd_summary, by_sku, panel, r
 from pedalmill.plans.forecast import TEST_MONTH, metrics
 from pedalmill.session import cut
 
+# Clusters and their names by falling value.
 CLUSTERS, SEED = 4, 42
 SEGMENTS = ("VIP", "Active", "At Risk", "Low Value")
 
@@ -28,10 +29,17 @@ def clip(c: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     return F.least(F.lit(hi), F.greatest(F.lit(lo), c))
 
 
+# Weights of the parts of the churn score, and where recency, frequency and RFM score count in full.
+RECENCY_WEIGHT, FREQUENCY_WEIGHT, TREND_WEIGHT, RFM_WEIGHT = 0.55, 0.20, 0.20, 0.05
+RECENCY_DAYS, FREQUENCY_ORDERS, RFM_FULL = 180, 6, 15
+
+
 def churn_score() -> Column:
     """0 to 1 from recency, frequency, a falling trend and the RFM score."""
-    falling = F.when(F.col("revenue_trend") < 0, clip(F.abs("revenue_trend")) * 0.20).otherwise(0.0)
-    return clip(clip(F.col("days_since_last_order") / 180) * 0.55 + (1 - clip(F.col("order_frequency") / 6)) * 0.20 + falling + (1 - clip(F.col("rfm_score") / 15)) * 0.05)
+    falling = F.when(F.col("revenue_trend") < 0, clip(F.abs("revenue_trend")) * TREND_WEIGHT).otherwise(0.0)
+    late = clip(F.col("days_since_last_order") / RECENCY_DAYS) * RECENCY_WEIGHT
+    seldom = (1 - clip(F.col("order_frequency") / FREQUENCY_ORDERS)) * FREQUENCY_WEIGHT
+    return clip(late + seldom + falling + (1 - clip(F.col("rfm_score") / RFM_FULL)) * RFM_WEIGHT)
 
 
 def churn_heuristic(spark: SparkSession, d: str) -> DataFrame:
