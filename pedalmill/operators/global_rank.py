@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 
 #: Rows of the sample that the cut points are chosen from; a bound for the driver, whatever the table's size.
 SAMPLE_ROWS = 20_000
+#: Buckets at most; every row is compared with each cut point.
+MAX_BUCKETS = 64
 
 
 def _before(cols: list[str], bound: tuple, desc: list[bool]) -> Column:
@@ -30,7 +32,7 @@ def global_row_number(df: DataFrame, order: list[tuple[str, bool]], name: str =
     are, never a rank. An empty input stays empty.
     """
     cols, desc = [c for c, _ in order], [d for _, d in order]
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sample = df.select(*cols).where(F.pmod(F.xxhash64(*cols), F.lit(max(1, buckets))) == 0).limit(SAMPLE_ROWS).collect()
     rows = [tuple(r) for r in sample]
     for c in range(len(cols) - 1, -1, -1):
