@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import product
 
-from pedalmill.llm.edit import damerau, plain
+from pedalmill.llm.edit import BKTree, damerau, plain
+from pedalmill.llm.reference_map import allowed
 
 # Words before the parts of an address. A word with accents must be typed with them or
 # without any; another accent is another word.
@@ -65,6 +68,15 @@ _MARKS |= {plain(m): kind for m, kind in _MARKS.items() if plain(m) not in _MARK
 _LONG = {plain(m).replace(" ", ""): kind for m, kind in _MARKS.items() if len(m) >= 4}
 
 
+def _damaged(mark: str) -> set[str]:
+    """``mark`` with n or ? in place of some of its letters with accents."""
+    return {"".join(c) for c in product(*[(c,) if plain(c) == c else (plain(c), "n", "?") for c in mark.replace(" ", "")])}
+
+
+#: Marks whose letters with accents are damaged; what is a mark by itself is none.
+_DAMAGED = {d: kind for m, kind in _MARKS.items() for d in _damaged(m) if len(d) > 1 and d not in _MARKS and d not in _LONG}
+
+
 def _split(low: str, flat: str) -> list[tuple[str, str, bool]]:
     """(lower-case token, plain token, ends with a dot?); separators come as ','."""
     out: list[tuple[str, str, bool]] = []
@@ -117,8 +129,9 @@ def parse(text: str | None, names: frozenset[str] = frozenset(), dotted: frozens
     """What ``text`` says. ``names``: the provinces' names, plain and without blanks, as some hold a word that
     else is a mark (Phuong Hai, Dong Pho); ``dotted``: those with a dot after a letter (Q.Vuc).
 
-    Null, empty and blank texts give an empty Address. The names of streets, wards and districts have two
-    syllables, or one token with both, or a number.
+    Null, empty and blank texts give an empty Address. A street's name goes on to the next separator, mark or
+    province's name, and has two tokens at least where there are two. The names of wards and districts have
+    two syllables, or one token with both, or a number.
     """
     out = Address()
     if not text or not text.strip():
@@ -199,13 +212,13 @@ def parse(text: str | None, names: frozenset[str] = frozenset(), dotted: frozens
             elif kind in ("district", "ward", "province", "none") and stop - i > 2:
                 waiting = False
                 continue
-            elif stop - i >= 3 and (_looks_marked(words[0]) or len(words[0]) == 1):
+            elif stop - i >= 3 and (_looks_marked(words[0]) or _DAMAGED.get(words[0]) == "street" or len(words[0]) == 1):
                 out.mark = words[0]
                 i += 1
             if i >= n or tokens[i][0] == ",":
                 i += 1
                 continue
-            take = 2 if i + 1 < n and tokens[i + 1][0] != "," else 1
+            take = _street_size(tokens, i, end, names)
             out.street = tuple(t[1] for t in tokens[i : i + take])
             waiting = False
             i += take
@@ -273,6 +286,32 @@ def _named(tokens: list[tuple[str, str, bool]], i: int, end: int, kind: str, nam
     return 0
 
 
+@lru_cache(maxsize=4)
+def _tree(names: frozenset[str]) -> BKTree:
+    return BKTree(sorted(names))
+
+
+def _street_size(tokens: list[tuple[str, str, bool]], i: int, end: int, names: frozenset[str]) -> int:
+    """Number of tokens from ``i`` on that are the street's name: up to the next mark, slips allowed, the
+    province's name or ``end``. The first two belong to it whatever they look like."""
+    first = min(i + 2, end)
+    if first == end:
+        return end - i
+    stop = next((k for k in range(first, end) if _mark(tokens, k)[0] in ("district", "ward", "province", "number")), end)
+    named = []
+    for k in range(first, stop):
+        for last in range(k + 1, min(k + 4, stop) + 1):
+            word = "".join(t[1] for t in tokens[k:last])
+            named += [(d, -last, k) for d, e in _tree(names).search(word, allowed(len(word) + 1)) if d <= allowed(len(e))]
+    if named:
+        stop = min(named)[2]
+    for k in range(first, stop):
+        slipped = k + 1 < end and (_slipped(tokens, k) or any("".join(t[1] for t in tokens[k : k + size]) in _DAMAGED for size in (2, 1)))
+        if slipped or _mark(tokens, k)[0]:
+            return k - i
+    return stop - i
+
+
 def _looks_marked(word: str) -> bool:
     return any(kind == "street" and damerau(word, mark) <= 1 for mark, kind in _LONG.items() if abs(len(mark) - len(word)) <= 1)
 

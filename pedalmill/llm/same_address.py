@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pedalmill.llm.address import Address
 from pedalmill.llm.components import connected_components
+from pedalmill.llm.edit import damerau
 from pedalmill.llm.names import KNOWN_SHARE, Speller, best_links, known_syllables, near
 from pedalmill.session import cut
 
@@ -48,6 +49,13 @@ def signature(members: list[str]) -> list[int]:
     return [xxhash.xxh64_intdigest(band.tobytes()) >> 1 for band in least]
 
 
+def unmarked(words: list[str], known: frozenset[str]) -> list[str]:
+    """``words`` of a street without a first one that is a mark with a slip: no known syllable, an edit away
+    from a mark, and two words at least left."""
+    slipped = len(words) > 2 and words[0] not in known and any(len(m) > 2 and damerau(words[0], m) <= 1 for m in ABBREVIATIONS)
+    return words[1:] if slipped else words
+
+
 def align(a: list[tuple[str, str]], b: list[tuple[str, str]], known: frozenset[str]) -> float:
     """Cost of the best affine-gap alignment of two token sequences; tokens are (kind, word), with kind
     'number', 'mark' or 'street'. A number or a known word never stands for another."""
@@ -115,7 +123,7 @@ def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str
         for batch in batches:
             out = []
             for words in batch:
-                typed = [s for w in words for s in (speller.split(w) if speller.spellings(w) == (w,) else [w])]
+                typed = [s for w in unmarked(list(words), speller.known) for s in (speller.split(w) if speller.spellings(w) == (w,) else [w])]
                 out.append((typed, any(w not in speller.known for w in typed), signature(shingles(typed, speller.spellings))))
             yield pd.DataFrame(out, columns=["street", "slip", "bands"])
 

@@ -149,6 +149,19 @@ class TestAddresses:
         assert by["S0"] == {"S0", "S1", "S2", "S3"}
         assert all(by[c] == {c} for c in ("O0", "O1", "O2", "P0")) and not {"O3", "O4", "O5", "N0"} & set(by)
 
+    def test_whole_street(self, spark):
+        texts = {
+            "219, phn Niệm Nghna, Xn Xuân nịnh, Tỉnh Hà Lam": ("niem", "nghna"), "12 nnnng Loan Lộc, Hà Lam": ("loan", "loc"), "12 đường Loan Lộc Kim, Hà Lam": ("loan", "loc", "kim"), "12 Loan Lộc Kim Hà Lãng": ("loan", "loc", "kim"),
+            "9 thôn Loan Lộc xn Kim Nga huyện Trấn Kim, Hà Lam": ("loan", "loc"), "xã Kim H. Nga 5 phố Sen Chè Đông Phố": ("sen", "che"), "7 Truyen Xa, Ha Lam": ("truyen", "xa"), "7 Loan": ("loan",),
+        }
+        for text, street in texts.items():
+            assert READ(text).street == street, text
+        same, other = ["12 phố Loan Lộc, Hà Lam", "12, phn Loan Lộc, Hà Lam", "12 phpo Loan Lộc, Hà Lam"], ["12 phố Loan Lộc Kim, Hà Lam", "12 phố Loan Lộc Trấn, Hà Lam"]
+        fill = [f"{i} đường {a}, Hà Lam" for i, a in enumerate(["Loan Kim", "Lộc Trấn", "Kim Loan", "Trấn Lộc"] * 4, 100)]
+        rows = [(a, a, 51) for a in same + other + fill]
+        got = {r.code: r.place for r in cluster_addresses(spark.createDataFrame(rows, "code string, address string, province int"), "code", "address", "province", READ).collect()}
+        assert len({got[a] for a in same}) == 1 and len({got[a] for a in same[:1] + other}) == 3
+
     def test_signatures_meet(self):
         rng = random.Random(1)
         sy = "loan kim nghe truong quoc khuynh bach nga suoi tre".split()
