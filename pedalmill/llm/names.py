@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
-from itertools import product
+from collections.abc import Callable, Iterator
+from itertools import permutations, product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -238,15 +238,70 @@ def _name_words(names: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def best_links(scored: DataFrame) -> DataFrame:
-    """(src, dst): of the scored pairs (a with a slip, b, slip_b, score) the best of every a, all at a tie;
-    a clean b goes before one with a slip whatever the score."""
-    best = scored.groupBy("a").agg(F.max(F.struct((~F.col("slip_b")).alias("clean"), F.round("score", 9).alias("score"))).alias("best"))
-    return (
-        scored.join(best, "a")
-        .where((F.col("best.clean") == ~F.col("slip_b")) & (F.round("score", 9) == F.col("best.score")))
-        .select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    )
+def differ(a: list[str], b: list[str], known: frozenset[str]) -> bool:
+    """Can two sets of syllables not be meant for the same, whatever the slips? So it is where a known syllable
+    of one has no partner in the other; two that are not known may always be the same."""
+    rest_a, rest_b = sorted(set(a) - set(b)), sorted(set(b) - set(a))
+    return len(rest_a) != len(rest_b) or not any(all(may_be(x, y, known) for x, y in zip(rest_a, ys, strict=True)) for ys in permutations(rest_b))
+
+
+def may_be(x: str, y: str, known: frozenset[str]) -> bool:
+    """May two syllables be meant for the same, with more slips than ``near`` takes as proof?"""
+    return x == y or (x not in known and y not in known) or (not (x in known and y in known) and (near(x, y, known) or damerau(x, y) <= 2))
+
+
+def grow(links: list[tuple], differs: Callable[[list[str], list[str]], bool]) -> dict[str, str]:
+    """{spelling: group}, the group's least spelling, of links (score, a, own_a, b, own_b, slip_b), a with a slip.
+
+    Groups grow along the links, the best first, at a tie those to a clean spelling, then by name. A link is
+    left out only where the grown group would hold two spellings that differ for sure. All that do not
+    differ from a clean spelling do not differ from each other, so a group with one is compared by it.
+    """
+    own: dict[str, list[str]] = {}
+    clean: dict[str, str] = {}
+    for _, a, own_a, b, own_b, slip_b in links:
+        own[a], own[b] = list(own_a), list(own_b)
+        if not slip_b:
+            clean[b] = b
+    group = {x: x for x in own}
+    members = {x: [x] for x in own}
+    for _, _, a, b in sorted((-round(score, 9), bool(slip_b), a, b) for score, a, _, b, _, slip_b in links):
+        x, y = group[a], group[b]
+        if x == y:
+            continue
+        ours, theirs = ([clean[g]] if g in clean else members[g] for g in (x, y))
+        if any(differs(own[p], own[q]) for p in ours for q in theirs):
+            continue
+        if len(members[x]) < len(members[y]):
+            x, y = y, x
+        for q in members[y]:
+            group[q] = x
+        members[x] += members.pop(y)
+        if y in clean:
+            clean[x] = clean.pop(y)
+    return {q: least for ms in members.values() for least in [min(ms)] for q in ms}
+
+
+def settle(scored: DataFrame, differs: Callable[[list[str], list[str]], bool]) -> DataFrame:
+    """(node, component) of the spellings in the accepted pairs ``scored`` (a with a slip, own_a, b, own_b, slip_b, score).
+
+    Every accepted pair is a link. A component whose spellings are all linked to its only clean one is a
+    group; any other is grown link by link, so that it falls apart only where spellings differ for sure.
+    Such a component comes to one worker; it has the spellings near to those of a few names.
+    """
+    scored = cut(scored.select("a", "own_a", "b", "own_b", "slip_b", "score"))  # used twice
+    groups = connected_components(scored.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    links = scored.join(groups.withColumnRenamed("node", "a"), "a")
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
+    led = links.where("not slip_b").groupBy("component").agg(F.count_distinct("a").alias("led"), F.count_distinct("b").alias("clean"))
+    sure = sizes.join(led, "component").where("clean = 1 and led + clean = nodes").select("component")
+
+    def apart(rows: pd.DataFrame) -> pd.DataFrame:
+        found = grow(list(rows[["score", "a", "own_a", "b", "own_b", "slip_b"]].itertuples(index=False, name=None)), differs)
+        return pd.DataFrame(sorted(found.items()), columns=["node", "component"])
+
+    grown = links.join(sure, "component", "left_anti").groupBy("component").applyInPandas(apart, "node string, component string")
+    return groups.join(sure, "component", "left_semi").select("node", "component").unionByName(grown)
 
 
 def cluster_names(rows: DataFrame, ident: str, name: str, share: float = KNOWN_SHARE) -> DataFrame:
@@ -260,7 +315,8 @@ def cluster_names(rows: DataFrame, ident: str, name: str, share: float = KNOWN_S
     Distinct syllable sets stand for their copies. Each is blocked by the phonetic codes of its sorted
     syllables, slips standing for every known syllable they may be meant for, so that a block holds the
     spellings of hardly more than one name; typed sets with a slip are compared within their blocks and
-    linked to the best match (to all at a tie), and links are closed by connected components.
+    linked to all that they match, and links are closed by connected components, which fall apart only where
+    they hold spellings of two names (``settle``).
     """
     spark = rows.sparkSession
     named = spread(rows.select(F.col(ident).alias("id"), F.col(name).alias("name")).where("id is not null and name is not null"))
@@ -268,6 +324,7 @@ def cluster_names(rows: DataFrame, ident: str, name: str, share: float = KNOWN_S
     words = cut(words.select("id", "words"))  # read once for the syllables and once for the names
     counts = known_syllables(words, share)
     shared = spark.sparkContext.broadcast(counts)  # at most 1 / share entries
+    sure = spark.sparkContext.broadcast(Speller(counts).known)
 
     @F.pandas_udf("struct<own:array<string>,keys:array<string>,codes:array<string>,slip:boolean>")
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -291,13 +348,11 @@ def cluster_names(rows: DataFrame, ident: str, name: str, share: float = KNOWN_S
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known = Speller(shared.value).known
         for a, b in batches:
-            yield pd.Series([same_dealer(list(x), list(y), known) for x, y in zip(a, b, strict=True)])
+            yield pd.Series([same_dealer(list(x), list(y), sure.value) for x, y in zip(a, b, strict=True)])
 
     scored = pairs.withColumn("score", score("own_a", "own_b")).where("score > 0")
-    links = best_links(scored)
-    groups = connected_components(links)
+    groups = settle(scored, lambda x, y: differ(x, y, sure.value))
     return (
         typed.select("id", "rep")
         .join(groups.withColumnRenamed("node", "rep"), "rep", "left")

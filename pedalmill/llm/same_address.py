@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalmill.llm.address import Address
-from pedalmill.llm.components import connected_components
 from pedalmill.llm.edit import damerau
-from pedalmill.llm.names import KNOWN_SHARE, Speller, best_links, known_syllables, near
+from pedalmill.llm.names import KNOWN_SHARE, Speller, known_syllables, may_be, near, settle
 from pedalmill.session import cut
 
 # Short forms of the words before a street's name and the word they stand for.
@@ -100,7 +99,8 @@ def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str
 
     Distinct (province, number, street) stand for their copies. Streets of the same province and number
     that meet in a band of their MinHash signatures are candidates, affine-gap alignment verifies them;
-    a spelling with a slip is linked to its best match, and links are closed by connected components.
+    a spelling with a slip is linked to all that it matches, and links are closed by connected components,
+    which fall apart only where they hold two streets (``settle``).
     """
     spark = placed.sparkSession
 
@@ -117,6 +117,7 @@ def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str
     )
     parts = cut(parts)  # read once for the syllables and once for the streets
     shared = spark.sparkContext.broadcast(known_syllables(parts, share))  # at most 1 / share entries
+    sure = spark.sparkContext.broadcast(Speller(shared.value).known)
 
     def spell(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         speller = Speller(shared.value)
@@ -140,17 +141,17 @@ def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str
     pairs = slips.join(others, keys).where("a <> b").drop("band", "hash").distinct()
 
     def verify(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        known = Speller(shared.value).known
         for number, mark_a, street_a, mark_b, street_b in batches:
             costs = []
             for n, ma, sa, mb, sb in zip(number, mark_a, street_a, mark_b, street_b, strict=True):
                 a, b = ([("number", n), *([("mark", m)] if m else []), *(("street", w) for w in s)] for m, s in ((ma, sa), (mb, sb)))
-                costs.append(align(a, b, known))
+                costs.append(align(a, b, sure.value))
             yield pd.Series(costs)
 
     scored = pairs.withColumn("cost", F.pandas_udf(verify, "double")("number", "mark_a", "street_a", "mark_b", "street_b"))
     scored = scored.where(F.col("cost") <= ACCEPT).withColumn("score", 10.0 - F.col("cost"))
-    groups = connected_components(best_links(scored))
+    scored = scored.withColumnsRenamed({"street_a": "own_a", "street_b": "own_b"})
+    groups = settle(scored, lambda x, y: len(x) != len(y) or not all(may_be(v, w, sure.value) for v, w in zip(x, y, strict=True)))
     return (
         spelt.select("id", "rep")
         .join(groups.withColumnRenamed("node", "rep"), "rep", "left")

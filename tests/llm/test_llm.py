@@ -13,7 +13,7 @@ from pedalmill.llm.address import parse
 from pedalmill.llm.components import connected_components
 from pedalmill.llm.edit import BKTree, damerau, plain
 from pedalmill.llm.mixture import blocks_of, draw_shards, mix, permute, plan_slots, token_offsets
-from pedalmill.llm.names import cluster_names, jaro_winkler, pairs_within
+from pedalmill.llm.names import cluster_names, differ, jaro_winkler, pairs_within, settle
 from pedalmill.llm.reference_map import map_to_reference
 from pedalmill.llm.residue import find_residue, strong_reasons
 from pedalmill.llm.same_address import cluster_addresses, shingles, signature
@@ -127,6 +127,19 @@ class TestNames:
         assert by["A1"] == {f"A{i}" for i in range(1, 9)} and by["B1"] == {"B1", "B2"}
         assert not {"C1", "C2", "C3", "C4", "C5", "D1", "L1"} & set(by) and by["L2"] == {"L2"}
 
+    def test_every_link_counts(self, spark):
+        known = frozenset("nga loan kim lan".split())
+        own = {"n1": "nga loan kimm", "n2": "nga loan kiim", "n3": "nga loan kkim", "n4": "nga loan kym", "c": "kim loan nga", "s": "kim loann nga", "u": "kim lan nga", "v": "kim laan nga", "w": "lan loanx kkim", "x": "lan loann kkim", "y": "lan kim loam"}  # nothing known stands against w-x-y
+        own = {k: v.split() for k, v in own.items()}
+        scores = [("n1", "n2", 0.99), ("n3", "n4", 0.99), ("n1", "n3", 0.9), ("s", "c", 0.9), ("s", "u", 0.8), ("v", "u", 0.9), ("s", "v", 0.7), ("w", "x", 0.99), ("x", "y", 0.9)]
+        rows = [(a, own[a], b, own[b], b not in "cu", s) for a, b, s in scores]
+        df = spark.createDataFrame(rows, "a string, own_a array<string>, b string, own_b array<string>, slip_b boolean, score double")
+        got = {}
+        for r in settle(df, lambda x, y: differ(x, y, known)).collect():
+            got.setdefault(r.component, set()).add(r.node)
+        assert sorted(map(sorted, got.values())) == [["c", "s"], ["n1", "n2", "n3", "n4"], ["u", "v"], ["w", "x", "y"]]
+        assert settle(df.limit(0), lambda x, y: True).count() == 0
+
     def test_pairs(self, spark):
         m = spark.createDataFrame([("b", "g"), ("a", "g"), ("a", "g"), ("c", "g"), ("d", None), (None, "g"), ("e", "h")], "code string, g string")
         assert sorted(tuple(r) for r in pairs_within(m, "code", "g").collect()) == [("a", "b"), ("a", "c"), ("b", "c")]
