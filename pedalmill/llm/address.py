@@ -20,7 +20,9 @@ STREET_MARKS = {"đường", "đ", "d", "phố", "thôn", "th", "xóm", "ấp",
 NUMBER_MARKS = {"số", "số nhà", "sn", "nhà"}
 NOT_PLACES = {"kho", "địa chỉ", "dc", "đc", "việt nam", "vn", "vietnam"}
 
-_PHONE = re.compile(r"\b(?:sdt|dt|tel|fax|phone|mobile|hotline|dien thoai|so dien thoai)\b\s*[.:]*\s*\+?\d[\d .()-]{5,}.*$", re.S)
+_PHONE = re.compile(r"\b(?:sdt|dt|tel|fax|phone|mobile|hotline|dien thoai|so dien thoai)\b\s*[.:]*\s*(?:\(?\+\d{2}\)?[ .-]?)?(?:\d{2}(?:[ .-]\d{2}){4}|\(?\d{2,4}\)?(?:[ .-]{1,2}\d{3,4}){2}|\(?\d{2,4}\)?[ .-]{1,2}\d{6,8}|\d{6,13})(?!\d)")
+# What is said of an order after the number.
+_ORDER = re.compile(r"[(–-]?\s*(?:\b(?:don \d+ dong|tong \d+ ma|\d+ mon)\b)(?:\s*[,/]?\s*\d+ (?:chiec|xe|dong|mon)\b)*\s*[),]?")
 # Notes for the driver, often without a separator before them.
 _NOTE = re.compile(r"\b(?:cong (?:sau|truoc|chinh)|gan cho|gui xe khach|giao gio hanh chinh)\b")
 _LEFT = re.compile(r"\(\s*(?:truoc|cu\s*:|nguyen la|ten cu)[^)]*\)?")
@@ -137,8 +139,8 @@ def parse(text: str | None, names: frozenset[str] = frozenset(), dotted: frozens
     if not text or not text.strip():
         return out
     low, flat = _fold(text)
-    if m := _PHONE.search(flat):
-        low, flat = low[: m.start()], flat[: m.start()]
+    low, flat = _cut(low, flat, _ORDER)
+    low, flat = _cut(low, flat, _PHONE)
     low, flat = _cut(low, flat, _NOTE)
     low, flat = _cut(low, flat, _LEFT)
     old: list[tuple[str, str, bool]] = []

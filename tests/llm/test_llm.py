@@ -69,6 +69,11 @@ class TestMapping:
             got = READ(text)
             assert (got.number, got.street) == (number, street), text
 
+    def test_address_after_a_phone_number(self):
+        for text in ("ĐT: 0905123456, 12 phố Cúc Chương, T. Hà Lam", "12 phố Cúc Chương tel 0905 123 456\nT. Hà Lam", "Tel: (0905) 123-456 - 12 phố Cúc Chương, Hà Lam đơn 2 dòng 5 chiếc", "12 phố Cúc Chương, Hà Lam ĐT: 0100459544 Tổng 9 mã, 34 xe,", "12 phố Cúc Chương, Hà Lam đt 0100459544 (9 món / 3 xe)", "Tel 0905123456 12 phố Cúc Chương, Hà Lam"):
+            got = READ(text)
+            assert (got.number, got.street, got.phrases) == ("12", ("cuc", "chuong"), [("ha lam", "T." in text)]), text
+
     @pytest.mark.parametrize("shard", [20_000, 3])
     def test_ids_whatever_the_shards(self, spark, shard):
         rows = spark.createDataFrame([(i, a[0], "clash") for i, a in enumerate(ADDRESSES)] + [(0, ADDRESSES[0][0], "twice")], "i int, address string, entry string")
