@@ -103,17 +103,18 @@ _NOTICE = re.compile(
 )
 # By these a sentence tells of such text rather than being it.
 _TOLD = re.compile(
-    r"it worked|works? again|last week|so we |so they |phone the order|da huong dan|da giai thich|nghia la gi|nhap giup|xem giup|in lai giup|bat lai\b|da cap lai|asked whether|vao lai duoc"
-    r"|bao loi|nen tho |ghi tay|gave error|phai gui don"
+    r"\b(?:it worked|works? again|da huong dan|da giai thich|nghia la gi|nhap giup|xem giup|in lai giup|bat lai|da cap lai|asked whether|vao lai duoc"
+    r"|bao loi|ghi tay|gave error|phai gui don)\b"
 )
 # By these a sentence explains a template's field.
-_EXPLAINED = re.compile(r"mau thu|ky hieu|in chu|form prints|fix the form|field is blank|may tu dien|sua mau|phai duoc thay|giu nguyen|placeholder|merge field")
+_EXPLAINED = re.compile(r"\b(?:mau thu|form prints|fix the form|field is blank|may tu dien|sua mau|phai duoc thay|giu nguyen|placeholder|merge field)\b")
 _WEAK = re.compile(r"rat tiec|xin loi|sorry|oops|\boi[.!…]|thu lai|try again|quay lai|back to home|quay ve trang chu|loading|please wait|dang tai|xin cho|moi ban")
 # Lines of a page's frame.
 _FRAME = re.compile(r"^(?:home > .*|menu\b.*|dang nhap . dang ky|hotline .*|© .*|trang chu \| .*)$")
 
 _SENTENCE = re.compile(r"\n+|(?<=[.!?。…])\s+")
 _QUOTED = re.compile(r'"[^"\n]*"|“[^”\n]*”')
+_LABEL = re.compile(r"\W*[^\W\d_]+(?: [^\W\d_]+){0,3}: ?")
 _TRACE_FILE = re.compile(r'(?i)\b(file) "([^"\n]{1,60})"')
 _WORD = re.compile(r"[^\W_]+")
 #: Words of a body below which it is low in information.
@@ -133,12 +134,15 @@ def plain(text: str) -> str:
 
 
 def unquoted(text: str) -> str:
-    """``text`` without what its sentences quote: spans in double quotes that words lead into or follow."""
+    """``text`` without what its sentences quote: spans in double quotes that words lead into or follow. A
+    template's field in quotes that is all that a label at the start of a line has is no quotation."""
     text = _TRACE_FILE.sub(r"\1 '\2'", text)
 
     def mask(m: re.Match) -> str:
         before = text[max(0, m.start() - 40) : m.start()].rpartition("\n")[2]
         after = text[m.end() : m.end() + 40].partition("\n")[0]
+        if _LABEL.fullmatch(text[text.rfind("\n", 0, m.start()) + 1 : m.start()]) and _FIELD.fullmatch(m.group()[1:-1].strip()):
+            return m.group()
         led = re.search(r"[^\W\d_]{2,}[,:]? $", before) or re.match(r"[,.]? (?:[^\W\d_]+ ){1}[^\W\d_]+", after)
         return ' "" ' if led else m.group()
 

@@ -295,6 +295,14 @@ class TestResidue:
         for text, want in RESIDUE:
             assert strong_reasons(text) == want, text
 
+    def test_general_words_hide_nothing(self):
+        for text in ("Thông tin chuyển khoản: {{bank_account}}", "Xin chúc mừng {{name}}", "Ký hiệu: {{invoice_symbol}}", 'Khách hàng: "{{name}}"', "Thông tin chung\nTên: “${name}”"):
+            assert strong_reasons(text) == ["FIELD"], text
+        for text in ("Please enable JavaScript so we can show the prices.", "The page you want has been removed last week."):
+            assert strong_reasons(text) == ["NOTICE"], text
+        for text in ("Nhớ giữ nguyên ký hiệu {{ten}} để máy tự điền.", "Đại lý hỏi vì sao thư in chữ {{ten}}, đã báo kỹ thuật sửa mẫu.", 'Thư gửi đi còn nguyên dòng "{{ten}}", nhờ xem giúp.'):
+            assert strong_reasons(text) == [], text
+
     def test_rows(self, spark):
         pages = [(100 + i, f"Xe {i} màu đỏ\nRất tiếc, mời bạn quay lại", "web") for i in range(3)] + [(200, "Tin nhắn\nRất tiếc, mời bạn quay lại", "mail")]
         df = spark.createDataFrame([(i, t, "h") for i, (t, _) in enumerate(RESIDUE)] + pages + [(0, RESIDUE[0][0], None)], "doc_id bigint, text string, source string").withColumn("reasons", F.lit("clash"))
