@@ -217,7 +217,7 @@ def find_residue(rows: DataFrame, ident: str, text: str, host: str, copies: int
 
     FIELD, EMPTY_VALUE, FILLER and NOTICE are found in the text itself, sentence by sentence, unless the
     sentence quotes, reports or explains it. DUPLICATED is found over all rows: a body low in information,
-    unlike its title, that the same host gives under ``copies`` different titles at least. Null, empty and
+    unlike its title, with a word of apology or of waiting (``_WEAK``), that the same host gives under ``copies`` different titles at least. Null, empty and
     blank texts have no reasons. Repeated rows come out as often as they come in. Only such bodies' hashes
     are counted, combined before the shuffle; hosts may be null.
     """
