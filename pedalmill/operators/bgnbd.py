@@ -72,10 +72,12 @@ def forecast(summary: DataFrame, weeks: int, penalty: float = 0.01) -> DataFrame
     """``summary`` (customer, frequency, recency, age in weeks) with p_alive and expected, purchases in ``weeks``.
 
     The fit uses the histogram of (frequency, recency, age), whose size depends on the weeks observed and
-    not on the customers; scores are column arithmetic in Arrow batches. A customer without a repeat is
-    alive with certainty; an empty summary gives an empty result.
+    not on the customers; more than MAX_CELLS cells raise, none is left out. Scores are column arithmetic in Arrow
+    batches. A customer without a repeat is alive with certainty; an empty summary gives an empty result.
     """
-    cells = summary.groupBy("frequency", "recency", "age").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CELLS).toPandas()
+    cells = summary.groupBy("frequency", "recency", "age").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CELLS + 1).toPandas()
+    if len(cells) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} distinct (frequency, recency, age); sum up longer periods than weeks")
     if cells.empty:
         return summary.withColumns({"p_alive": F.lit(None).cast("double"), "expected": F.lit(None).cast("double")})
     r, alpha, a, b = fit(cells, penalty)

@@ -73,8 +73,22 @@ def text_values(words: Column) -> tuple[Column, Column]:
     return wrong, values
 
 
+#: Types of the loaded numbers: as wide as Spark has, since the rules bound neither stt nor an amount.
+TYPES = {"stt": "decimal(38,0)", "quantity": "decimal(10,2)", "unit_price": "decimal(38,2)", "line_total": "decimal(38,2)"}
+#: The kind of error of a valid value that its type cannot hold.
+TOO_LONG = "TOO_LONG"
+
+
+def casts(v: dict[str, Column]) -> dict[str, Column]:
+    """The numbers among the fields, null where the type does not hold them; of valid values no other is null."""
+    digits = {f: F.translate(v[f], ".", "") for f in ("stt", "unit_price", "line_total")}
+    digits["quantity"] = F.translate(v["quantity"], ",", ".")
+    return {f: digits[f].try_cast(t) for f, t in TYPES.items()}
+
+
 def value_errors(v: dict[str, Column]) -> Column:
-    """Names of the fields whose value is invalid, in the order of the fields; null values are invalid."""
+    """KIND:field of the fields whose value is invalid, in the order of the fields: BAD_VALUE where a rule fails or
+    the value is null, TOO_LONG where only the cast does."""
     money = "^(?:[0-9]+|[0-9]{1,3}(?:\\.[0-9]{3})+)$"
     rules = {
         "stt": v["stt"].rlike("^0*[1-9][0-9]*$"),
@@ -83,14 +97,19 @@ def value_errors(v: dict[str, Column]) -> Column:
         "unit_price": v["unit_price"].rlike(money),
         "line_total": v["line_total"].rlike(money) & v["line_total"].rlike("[1-9]"),
     }
-    return F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(f)) for f, ok in rules.items()]), lambda e: e.isNotNull())
+    held = casts(v)
+    bad = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(f"BAD_VALUE:{f}")) for f, ok in rules.items()])
+    # a rule that holds bounds the digits of all but these three, so only they can be too long
+    long = F.array(*[F.when(F.coalesce(rules[f], F.lit(False)) & (F.length(v[f]) > 36) & held[f].isNull(), F.lit(f"{TOO_LONG}:{f}")) for f in ("stt", "unit_price", "line_total")])
+    return F.array_compact(F.concat(bad, long))
 
 
 def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Column]) -> DataFrame:
     """``keep``, the seven fields as text, ``errors`` and ``reason`` for every row of ``rows``.
 
     ``is_csv`` tells a comma-separated record from a line of text (null counts as text). ``errors`` is an
-    array of reasons, in the order EMPTY, QUOTING, COLUMN_COUNT, BAD_VALUE:field..., empty for sound rows;
+    array of reasons, in the order EMPTY, QUOTING, COLUMN_COUNT, BAD_VALUE:field..., TOO_LONG:field... (a valid
+    number of more digits than ``TYPES`` can hold), empty for sound rows;
     ``reason`` is the first one without the field's name, null for sound rows. Later rules are not asked
     where EMPTY, QUOTING or COLUMN_COUNT holds. Rows are neither dropped nor merged; an empty input gives
     an empty result; columns of ``rows`` other than those in ``keep`` are left out.
@@ -119,8 +138,7 @@ def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Col
         F.when(shape.isNull(), F.when(F.col("csv"), F.col("x.v")).otherwise(F.col("t.v"))).alias("v"),
     )
     fields = {f: F.get(F.col("v"), F.lit(i)) for i, f in enumerate(FIELDS)}
-    bad = F.transform(value_errors(fields), lambda f: F.concat(F.lit("BAD_VALUE:"), f))
-    errors = F.when(F.col("shape").isNotNull(), F.array("shape")).otherwise(bad)
+    errors = F.when(F.col("shape").isNotNull(), F.array("shape")).otherwise(value_errors(fields))
     return typed.select(
         *[F.col(f"k_{n}").alias(n) for n in keep],
         *[c.alias(f) for f, c in fields.items()],
@@ -128,19 +146,8 @@ def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Col
     ).withColumn("reason", F.substring_index(F.get("errors", F.lit(0)), ":", 1))
 
 
-def money(value: Column) -> Column:
-    """A valid amount as decimal(15,2), null where it does not fit."""
-    return F.translate(value, ".", "").try_cast("decimal(15,2)")
-
-
 def split_rows(read: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sound rows with typed values, broken rows with their errors) of what read_lines gave."""
-    quantity = F.translate(F.col("quantity"), ",", ".").try_cast("decimal(10,2)")
-    typed = {
-        "stt": F.col("stt").try_cast("bigint"),
-        "quantity": quantity,
-        "unit_price": money(F.col("unit_price")),
-        "line_total": money(F.col("line_total")),
-    }
-    sound = read.where(F.size("errors") == 0).withColumns(typed).drop("errors", "reason")
+    """(sound rows with typed values, broken rows with their errors) of what read_lines gave. The error array holds
+    what the casts refuse, so no value of a sound row is lost."""
+    sound = read.where(F.size("errors") == 0).withColumns(casts({f: F.col(f) for f in FIELDS})).drop("errors", "reason")
     return sound, read.where(F.size("errors") > 0)

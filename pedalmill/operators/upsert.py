@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from pedalmill.operators.global_rank import global_row_number
 
 
 def dedup(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -63,6 +64,5 @@ def next_codes(rows: DataFrame, key: str, first_seen: Column, highest: DataFrame
     """(key, code): new codes prefix + number after the highest one in use, in the order in which keys are
     first seen, then by key. ``highest`` is one row (top)."""
     seen = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(first_seen).alias("__seen"))
-    # one number line for all new keys of a batch: new keys are few beside the rows they come from
-    number = F.row_number().over(Window.orderBy("__seen", key))
-    return seen.withColumn("__n", number).crossJoin(F.broadcast(highest)).select(key, F.concat(F.lit(prefix), F.lpad((F.col("__n") + F.coalesce("top", F.lit(0))).cast("string"), digits, "0")).alias("code"))
+    numbered = global_row_number(seen, [("__seen", False), (key, False)], "__n")
+    return numbered.crossJoin(F.broadcast(highest)).select(key, F.concat(F.lit(prefix), F.lpad((F.col("__n") + F.coalesce("top", F.lit(0))).cast("string"), digits, "0")).alias("code"))

@@ -58,11 +58,15 @@ def semi_batch_verify(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fact_refresh_by_key(spark: SparkSession, d: str) -> DataFrame:
-    """The fact after orders of 1997 are rebuilt by key; equal to the whole rebuild."""
+    """The fact after orders of 1997 are rebuilt by key, when their lines had been loaded with half their quantity
+    and without the lines of one product in seven: changed rows are replaced and missing ones come in."""
     keys = orders(spark, d).where("fiscal_year = 1997").select("order_id")
-    old = fact_sales(spark, d)
+    stale = F.col("fiscal_year") == 1997
+    old = fact_sales(spark, d).where(~stale | (F.coalesce(F.col("product_code").cast("bigint"), F.lit(1)) % 7 != 0)).withColumn("quantity", F.when(stale, (F.col("quantity") / 2).cast("decimal(10,2)")).otherwise(F.col("quantity")))
     fresh = fact_sales(spark, d, keys)
-    return delete_keys(old, keys, ["order_id"]).unionByName(fresh).groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("n_rows"), dsum("line_total").alias("revenue"))
+    now = delete_keys(old, keys, ["order_id"]).unionByName(fresh)
+    # every order, so that a row too many, too few or unchanged shows
+    return now.groupBy("order_id").agg(F.max("fiscal_year").alias("fiscal_year"), F.count(F.lit(1)).alias("n_rows"), dsum("quantity").alias("quantity"), dsum("line_total").alias("revenue"))
 
 
 def dedup_first_wins(spark: SparkSession, d: str) -> DataFrame:
@@ -159,7 +163,7 @@ ORACLES = {
     "anti_orphan_lines": f"with {_OL}, {_SO} select so, count(*) as n_lines from ol where so is not null and so not in (select so from so where so is not null) group by 1",
     "orders_without_lines": f"with {_OL}, {_SO} select distinct so from so where so is not null and so not in (select so from ol where so is not null)",
     "semi_batch_verify": f"with {_OL}, {_SO} select count(*) as n_lines, coalesce(sum(line_total), 0)::double as total from ol where so in (select so from so where so is not null)",
-    "fact_refresh_by_key": f"with {FACT_SQL} select fiscal_year, count(*) as n_rows, sum(line_total)::double as revenue from fact group by 1",
+    "fact_refresh_by_key": f"with {FACT_SQL} select order_id, max(fiscal_year) as fiscal_year, count(*) as n_rows, sum(quantity)::double as quantity, sum(line_total)::double as revenue from fact group by 1",
     "dedup_first_wins": "select customer_code, customer_name, province_id, created_at from (select *, row_number() over (partition by customer_code order by created_at, coalesce(customer_name, ''), coalesce(province_id, 0)) as r from staging_customer where customer_code is not null) x where r = 1",
     "dedup_last_wins": f"with {_SO} select so, customer, order_date, loaded_at, row_id from (select *, row_number() over (partition by so order by loaded_at desc, row_id desc) as r from so where so is not null) x where r = 1",
     "dedup_duplicates": f"with {_SO} select so, count(*) as n from so where so is not null group by 1 having count(*) > 1",

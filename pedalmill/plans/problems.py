@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalmill.functions.keys import BLANKS, clean_key
-from pedalmill.operators.broken_rows import UNITS, read_lines, split_rows
+from pedalmill.operators.broken_rows import TOO_LONG, UNITS, read_lines, split_rows
 from pedalmill.operators.even_totals import even_totals, frequent_keys
 from pedalmill.operators.orphan_refs import find_orphans, parent_runs
 from pedalmill.operators.rolling_totals import rolling_totals
@@ -133,13 +133,14 @@ def _read(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return split_rows(_read(spark, d))[1].select("fail_id", "reason")
+    """A number too long for any type can be read, so it is none of these reasons; it is not loaded either."""
+    return split_rows(_read(spark, d))[1].where(F.col("reason") != TOO_LONG).select("fail_id", "reason")
 
 
 def p4_loaded(spark: SparkSession, d: str) -> DataFrame:
     """The lines that can be read, with typed values."""
     sound = split_rows(_read(spark, d))[0]
-    return sound.withColumns({c: F.col(c).cast("double") for c in ("quantity", "unit_price", "line_total")})
+    return sound.withColumns({c: F.col(c).cast("double") for c in ("stt", "quantity", "unit_price", "line_total")})
 
 
 def _skewed(spark: SparkSession, d: str) -> list[tuple[str, str, DataFrame]]:
@@ -223,7 +224,7 @@ ORACLES = {
     "p2_report": _orphan_sql("ref_table, ref_field, strftime(at_, '%Y-%m') as month, why, count(*) as n_orphans", "group by 1, 2, 3, 4"),
     "p3_rolling": P3_SQL,
     "p4_found": f"{_P4_SQL} select fail_id, coalesce(shape, 'BAD_VALUE') as reason from f where shape is not null or not good",
-    "p4_loaded": f"""{_P4_SQL} select fail_id, record_type, stt::bigint as stt, code as product_code, name, unit, replace(q, ',', '.')::double as quantity,
+    "p4_loaded": f"""{_P4_SQL} select fail_id, record_type, stt::double as stt, code as product_code, name, unit, replace(q, ',', '.')::double as quantity,
         replace(up, '.', '')::double as unit_price, replace(lt, '.', '')::double as line_total from f join raw using (fail_id) where shape is null and good""",
     "p6_found": f"""
         select ref_table, ref_field, key_value from (

@@ -4,13 +4,14 @@ import datetime as dt
 import decimal
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from pedalmill.functions.keys import clean_key
 from pedalmill.operators.broken_rows import read_lines, split_rows
 from pedalmill.operators.even_totals import even_totals, frequent_keys
-from pedalmill.operators.global_rank import global_row_number, ntile, quantile_bin
+from pedalmill.operators.global_rank import global_quantiles, global_row_number, ntile, quantile_bin
 from pedalmill.operators.orphan_refs import find_orphans, parent_runs
 from pedalmill.operators.rolling_totals import rolling_totals
 
@@ -111,6 +112,14 @@ class TestBrokenRows:
         assert (r.stt, r["name"], r.unit, float(r.quantity), float(r.unit_price), float(r.line_total)) == (1, 'Xe "26", đỏ\nmới', "Cái", 2.5, 0, 2000)
         assert rows[5]["name"] == "Xe Bộ"
 
+    def test_long_numbers_are_held_or_told(self, spark):
+        lines = ["1 000119999 Xe Bộ 2 99999999999999 1", "12345678901234567890 000119999 Xe Bộ 2 1 99.999.999.999.999.999", f"{'9' * 38} 000119999 Xe Bộ 2 1 {'9' * 36}", f"{'9' * 39} 000119999 Xe Bộ 2 {'9' * 37} 1", f"{'0' * 60}7 000119999 Xe Bộ 2 1 1"]
+        sound, broken = split_rows(self.read(spark, [("t", x, None) for x in lines]))
+        rows = {r.i: r for r in sound.collect()}
+        assert rows[0].unit_price == 99999999999999 and rows[1].stt == 12345678901234567890 and rows[1].line_total == 99999999999999999 and rows[2].stt == 10**38 - 1 and rows[4].stt == 7
+        assert not any(v is None for r in rows.values() for v in r)
+        assert {r.i: (r.errors, r.reason) for r in broken.collect()} == {3: (["TOO_LONG:stt", "TOO_LONG:unit_price"], "TOO_LONG")}
+
     def test_empty(self, spark):
         assert self.read(spark, []).count() == 0
 
@@ -160,3 +169,16 @@ class TestGlobalRank:
 
     def test_empty(self, spark):
         assert global_row_number(spark.createDataFrame([], "v int, c string"), [("v", False), ("c", False)]).count() == 0
+        assert global_quantiles(spark.createDataFrame([], "v double"), "v", {"q": 0.5}).first().q is None
+
+    def test_quantiles(self, spark):
+        rng = random.Random(13)
+        for n in (1, 2, 3, 10, 501):
+            values = [rng.choice([1.5, 2.0, rng.random() * 100]) for _ in range(n)]
+            df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(3)
+            got = global_quantiles(df, "v", {"a": 0.25, "b": 0.5, "c": 1.0}).first()
+            assert list(got) == pytest.approx(list(np.quantile(values, [0.25, 0.5, 1.0])))
+
+    def test_nulls_have_ranks(self, spark):
+        df = spark.createDataFrame([(None, "b"), (1, "a"), (None, "a")], "v int, c string")
+        assert [(r.v, r.c) for r in global_row_number(df, [("v", False), ("c", False)]).orderBy("rn").collect()] == [(None, "a"), (None, "b"), (1, "a")]
