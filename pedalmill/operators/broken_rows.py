@@ -60,17 +60,18 @@ def csv_values(parts: Column) -> tuple[Column, Column]:
     return broken, F.transform(F.split(joined, _CUT, -1), _strip)
 
 
-def text_values(words: Column) -> tuple[Column, Column]:
-    """(wrong shape?, values) of one line of text, its words: stt, code, name of one or more words, unit, three values."""
+def last_unit(words: Column) -> Column:
+    """The 1-based place of the last unit among ``words``; one after the last word where there is none."""
     flags = F.transform(words, lambda w: F.lower(w).isin(_units()))
-    # 1-based place of the last unit; 0 where there is none
-    place = F.when(F.exists(flags, lambda f: f), F.size(words) + 1 - F.array_position(F.reverse(flags), True)).otherwise(0).cast("int")
-    wrong = (place < 4) | (F.size(words) - place != 3)
-    name = F.array_join(F.slice(words, F.lit(3), F.greatest(place - 3, F.lit(0))), " ")
-    values = F.array(
-        F.get(words, F.lit(0)), F.get(words, F.lit(1)), name, *[F.get(words, F.greatest(place, F.lit(1)) - 1 + k) for k in range(4)]
-    )
-    return wrong, values
+    return F.size(words) - F.array_position(F.reverse(flags), True).cast("int") + 1
+
+
+def text_values(words: Column, unit: Column) -> tuple[Column, Column]:
+    """(wrong shape?, values) of one line of text, its words: stt, code, name of one or more words, unit, three values.
+    ``unit`` is the column with the last unit's place, so that it is looked for once; one after the last word is none."""
+    wrong = (unit < 4) | (F.size(words) - unit != 3)
+    name = F.array_join(F.slice(words, F.lit(3), F.greatest(unit - 3, F.lit(0))), " ")
+    return wrong, F.array(F.get(words, F.lit(0)), F.get(words, F.lit(1)), name, *[F.get(words, F.greatest(unit, F.lit(1)) - 1 + k) for k in range(4)])
 
 
 #: Types of the loaded numbers: as wide as Spark has, since the rules bound neither stt nor an amount.
@@ -116,14 +117,10 @@ def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Col
     """
     base = rows.select(*[c.alias(f"k_{n}") for n, c in keep.items()], _strip(raw).alias("line"), F.coalesce(is_csv, F.lit(False)).alias("csv"))
     empty = F.coalesce(F.col("line"), F.lit("")) == ""
-    # The row number is never asked for. A filter cannot be moved below a step with a column like it, so the cut
-    # texts stay columns; moved, the filter would cut a text anew for each of its pieces.
-    cut = base.withColumns(
-        {"parts": F.when(F.col("csv"), F.split("line", '"', -1)), "words": F.when(~F.col("csv"), F.split("line", f"{_WS}+", -1)), "row": F.monotonically_increasing_id()}
-    ).withColumn("csv", F.col("csv") & (F.col("row") >= 0))
+    cut = base.withColumns({"parts": F.when(F.col("csv"), F.split("line", '"', -1)), "words": F.when(~F.col("csv"), F.split("line", f"{_WS}+", -1))})
     quoting, csv = csv_values(F.col("parts"))
-    wrong, words = text_values(F.col("words"))
-    seen = cut.withColumn("x", F.when(~empty & F.col("csv"), F.struct(quoting.alias("q"), csv.alias("v")))).withColumn(
+    wrong, words = text_values(F.col("words"), F.col("unit"))
+    seen = cut.withColumn("unit", last_unit(F.col("words"))).withColumn("x", F.when(~empty & F.col("csv"), F.struct(quoting.alias("q"), csv.alias("v")))).withColumn(
         "t", F.when(~empty & ~F.col("csv"), F.struct(wrong.alias("w"), words.alias("v")))
     )
     shape = (
@@ -132,18 +129,18 @@ def read_lines(rows: DataFrame, raw: Column, is_csv: Column, keep: dict[str, Col
         .when(F.col("csv") & (F.size("x.v") != len(FIELDS)), F.lit("COLUMN_COUNT"))
         .when(~F.col("csv") & F.col("t.w"), F.lit("COLUMN_COUNT"))
     )
-    typed = seen.select(
-        *[F.col(f"k_{n}").alias(f"k_{n}") for n in keep],
-        shape.alias("shape"),
-        F.when(shape.isNull(), F.when(F.col("csv"), F.col("x.v")).otherwise(F.col("t.v"))).alias("v"),
-    )
-    fields = {f: F.get(F.col("v"), F.lit(i)) for i, f in enumerate(FIELDS)}
-    errors = F.when(F.col("shape").isNotNull(), F.array("shape")).otherwise(value_errors(fields))
-    return typed.select(
-        *[F.col(f"k_{n}").alias(n) for n in keep],
-        *[c.alias(f) for f, c in fields.items()],
-        errors.alias("errors"),
-    ).withColumn("reason", F.substring_index(F.get("errors", F.lit(0)), ":", 1))
+    # A filter stops at a generated column and is not moved into the steps below, where it would read a line again
+    # for each of its values.
+    def held(**columns: Column) -> Column:
+        return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+
+    kept = [f"k_{n}" for n in keep]
+    typed = seen.select(*kept, held(shape=shape, v=F.when(F.col("csv"), F.col("x.v")).otherwise(F.col("t.v"))))
+    fields = {f: F.when(F.col("shape").isNull(), F.get(F.col("v"), F.lit(i))) for i, f in enumerate(FIELDS)}
+    split = typed.select(*kept, "shape", *[c.alias(f) for f, c in fields.items()])
+    errors = F.when(F.col("shape").isNotNull(), F.array("shape")).otherwise(value_errors({f: F.col(f) for f in FIELDS}))
+    told = split.select(*kept, *FIELDS, held(errors=errors))
+    return told.select(*[F.col(f"k_{n}").alias(n) for n in keep], *FIELDS, "errors", F.substring_index(F.get("errors", F.lit(0)), ":", 1).alias("reason"))
 
 
 def split_rows(read: DataFrame) -> tuple[DataFrame, DataFrame]:
