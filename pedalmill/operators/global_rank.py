@@ -32,14 +32,15 @@ def global_row_number(df: DataFrame, order: list[tuple[str, bool]], name: str =
     )
 
 
-def global_quantiles(df: DataFrame, value: str, shares: dict[str, float]) -> DataFrame:
+def global_quantiles(df: DataFrame, value: str, shares: dict[str, float], weight: str | None = None) -> DataFrame:
     """One row: for every (name, share) the exact quantile of the double column ``value``, interpolated linearly,
-    as double; null without values. Nulls are left out.
+    as double; null without values. Nulls are left out. A row counts as often as its ``weight`` says, or once.
 
     Equal values are counted before they are ranked, so what is ranged is distinct values, and no task holds
     them all: running counts over range buckets tell which value stands at which place.
     """
-    counts = df.select(F.col(value).cast("double").alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("w"))
+    counted = df.select(F.col(value).cast("double").alias("v"), (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("w"))
+    counts = counted.where("v is not null").groupBy("v").agg(F.sum("w").alias("w"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = cut(counts.repartitionByRange(n, "v").withColumn("__bucket", F.spark_partition_id()))
     sizes = placed.groupBy("__bucket").agg(F.sum("w").alias("__n"))  # one row per bucket

@@ -28,7 +28,7 @@ def bi_revenue_trend(spark: SparkSession, d: str) -> DataFrame:
         in_period(fact_sales(spark, d))
         .groupBy("fiscal_year", "fiscal_month")
         .agg(
-            F.countDistinct("so_number").alias("order_count"),
+            F.countDistinct("order_id").alias("order_count"),
             F.countDistinct("customer_code").alias("active_customer_count"),
             dsum("quantity").alias("total_qty"),
             dsum("line_total").alias("total_revenue"),
@@ -46,7 +46,7 @@ def bi_product_analysis(spark: SparkSession, d: str) -> DataFrame:
         .groupBy("g")
         .agg(
             F.countDistinct("product_code").alias("sku_count"),
-            F.countDistinct("so_number").alias("order_count"),
+            F.countDistinct("order_id").alias("order_count"),
             dsum("quantity").alias("total_qty"),
             dsum("line_total").alias("total_revenue"),
             davg("unit_price").alias("avg_unit_price"),
@@ -66,14 +66,14 @@ def bi_customer_rfm(spark: SparkSession, d: str) -> DataFrame:
             F.max("customer_name").alias("customer_name"),
             F.max("province_name").alias("province_name"),
             F.max("region").alias("region"),
-            F.countDistinct("so_number").alias("frequency"),
+            F.countDistinct("order_id").alias("frequency"),
             dsum("line_total").alias("monetary"),
             F.max("order_date").alias("last_order_date"),
         )
         .withColumn("recency_days", F.datediff(F.lit(DATE_TO).cast("date"), F.col("last_order_date")))
-        .crossJoin(F.broadcast(in_period(fact_sales(spark, d)).agg(F.countDistinct("customer_code").alias("n"))))  # one row
     )
-    base = cut(base)  # ranked three times
+    base = cut(base)  # counted, and ranked three times
+    base = base.crossJoin(F.broadcast(base.agg(F.count(F.lit(1)).alias("n"))))  # n is one row
     for key, desc, score in (("recency_days", True, "recency_score"), ("frequency", False, "frequency_score"), ("monetary", False, "monetary_score")):
         base = global_row_number(base, [(key, desc), ("customer_code", False)]).withColumn(score, ntile(F.col("rn"), F.col("n"), 5)).drop("rn")
     scored = base.withColumn("rfm_score", F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")).drop("n")
@@ -84,7 +84,7 @@ def bi_geo_analysis(spark: SparkSession, d: str) -> DataFrame:
     grouped = (
         in_period(fact_sales(spark, d))
         .groupBy("region", "province_name")
-        .agg(F.countDistinct("customer_code").alias("active_customer_count"), F.countDistinct("so_number").alias("order_count"), dsum("quantity").alias("total_qty"), dsum("line_total").alias("total_revenue"))
+        .agg(F.countDistinct("customer_code").alias("active_customer_count"), F.countDistinct("order_id").alias("order_count"), dsum("quantity").alias("total_qty"), dsum("line_total").alias("total_revenue"))
         .withColumn("revenue_share", share_of_all("total_revenue"))
     )
     return grouped.withColumns({c: F.coalesce(c, F.lit("UNKNOWN")) for c in ("region", "province_name")}).orderBy(F.col("total_revenue").desc(), "province_name").limit(50)
@@ -92,7 +92,7 @@ def bi_geo_analysis(spark: SparkSession, d: str) -> DataFrame:
 
 def bi_operational_kpis(spark: SparkSession, d: str) -> DataFrame:
     one = in_period(fact_sales(spark, d)).agg(
-        F.countDistinct("so_number").alias("order_count"),
+        F.countDistinct("order_id").alias("order_count"),
         F.countDistinct("customer_code").alias("active_customer_count"),
         F.countDistinct("product_code").alias("active_sku_count"),
         dsum("quantity").alias("total_qty"),

@@ -100,7 +100,7 @@ def fact_sales_build(spark: SparkSession, d: str) -> DataFrame:
 def fact_verify(spark: SparkSession, d: str) -> DataFrame:
     return fact_sales(spark, d).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.countDistinct("so_number").alias("order_count"),
+        F.countDistinct("order_id").alias("order_count"),
         F.coalesce(dsum("quantity"), F.lit(0.0)).alias("total_quantity"),
         F.coalesce(dsum("line_total"), F.lit(0.0)).alias("total_revenue"),
     )
@@ -108,13 +108,13 @@ def fact_verify(spark: SparkSession, d: str) -> DataFrame:
 
 def v_monthly_by_group(spark: SparkSession, d: str) -> DataFrame:
     return fact_sales(spark, d).groupBy("fiscal_year", "fiscal_month", "group_code").agg(
-        F.countDistinct("so_number").alias("order_count"), dsum("quantity").alias("total_qty"), dsum("line_total").alias("total_revenue"), F.round(F.sum("unit_price").cast("double") / F.count("unit_price"), 0).alias("avg_unit_price")
+        F.countDistinct("order_id").alias("order_count"), dsum("quantity").alias("total_qty"), dsum("line_total").alias("total_revenue"), F.round(F.sum("unit_price").cast("double") / F.count("unit_price"), 0).alias("avg_unit_price")
     )
 
 
 def v_customer_period(spark: SparkSession, d: str) -> DataFrame:
     return fact_sales(spark, d).groupBy("customer_code", "fiscal_year", "fiscal_quarter").agg(
-        F.countDistinct("so_number").alias("order_count"),
+        F.countDistinct("order_id").alias("order_count"),
         F.countDistinct("product_code").alias("sku_count"),
         dsum("quantity").alias("total_qty"),
         dsum("line_total").alias("total_revenue"),

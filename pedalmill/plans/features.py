@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from pedalmill.operators.global_rank import global_row_number, quantile_bin
+from pedalmill.operators.global_rank import global_quantiles, global_row_number, quantile_bin
 from pedalmill.plans.fact import FACT_SQL, davg, dsum, fact_sales, orders
 from pedalmill.session import cut
 from pedalmill.sources.tables import table
@@ -23,22 +23,62 @@ def growth(now: Column, before: Column, default: float | None = 0.0) -> Column:
     return F.when(before > 0, (now - before) / before).otherwise(F.lit(default))
 
 
+#: Parts into which a product's month is spread by customer.
+SALTS = 64
+
+
 def sku_monthly(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("product_code", *_MONTHS).agg(dsum("quantity").alias("qty"), dsum("line_total").alias("revenue"), F.countDistinct("so_number").alias("order_count"), F.countDistinct("customer_code").alias("active_dealer_count"))
+    """Per product and month: qty, revenue, order_count, active_dealer_count, group_name, color and prices, the
+    positive unit prices with their numbers of lines.
+
+    Lines move once, by product, month and a salt of the customer, so that a hot product is spread over months and
+    salts. Within these parts orders, then customers, then all are added up without moving again: an order has
+    one customer and a customer one salt, so the counts of the parts add up. Sums are of hundredths, as integers.
+    """
+    month = ["product_code", *_MONTHS]
+    cents = lambda c: (F.col(c) * 100).cast("bigint")
+    salt = F.pmod(F.xxhash64("customer_code"), F.lit(SALTS)).cast("int").alias("s")
+    lines = fact.where("product_code is not null").select(*month, "group_code", "color", "customer_code", "order_id", cents("quantity").alias("q"), cents("line_total").alias("r"), cents("unit_price").alias("p"), salt)
+    # a line counts under its order, and under its price if it has one
+    kinds = F.array(F.struct(F.col("customer_code").alias("c"), F.col("order_id").alias("o"), F.lit(None).cast("bigint").alias("p")), F.struct(F.lit(None).cast("string").alias("c"), F.lit(None).cast("bigint").alias("o"), F.col("p")))
+    part = [*month, "s"]
+    both = lines.repartition(*part).withColumn("x", F.explode(F.slice(kinds, 1, F.when(F.col("p") > 0, 2).otherwise(1)))).select(*part, "group_code", "color", "q", "r", "x.*")
+    sums = lambda *more: [F.sum(c).alias(c) for c in ("q", "r", *more)] + [F.max(c).alias(c) for c in ("group_code", "color")]
+    orders_ = both.groupBy(*part, "c", "o", "p").agg(*sums(), F.count(F.lit(1)).alias("n"))
+    dealers = orders_.groupBy(*part, "c", "p").agg(*sums("n"), F.count(F.lit(1)).alias("o"))
+    sold = F.col("p").isNull()
+    once = [F.sum(F.when(sold, F.col(c))).alias(c) for c in ("q", "r", "o")]
+    prices = F.collect_list(F.when(~sold, F.struct((F.col("p") / 100).alias("price"), "n"))).alias("prices")
+    salted = dealers.groupBy(*part).agg(*once, F.count_if(sold).alias("c"), F.max("group_code").alias("group_code"), F.max("color").alias("color"), prices)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return salted.groupBy(*month).agg(
+        (total("q").cast("double") / 100).alias("qty"), (total("r").cast("double") / 100).alias("revenue"), total("o").alias("order_count"), F.sum("c").alias("active_dealer_count"),
+        F.max("group_code").alias("group_name"), F.max("color").alias("color"), F.flatten(F.collect_list("prices")).alias("prices"),
+    )
 
 
-def panel(spark: SparkSession, d: str) -> DataFrame:
+def months_sold(spark: SparkSession, d: str) -> DataFrame:
+    """``sku_monthly`` of the whole fact, written once; all panels and forecasts read it instead of the fact."""
+    return cut(sku_monthly(fact_sales(spark, d)))
+
+
+def panel_of(sold: DataFrame) -> DataFrame:
     """Every product with every observed month; months without sales have zeros. avg_unit_price is revenue
-    by quantity, else the product's median price, else the median of all, else 0."""
-    fact = fact_sales(spark, d).where("product_code is not null")
-    months = fact.select(*_MONTHS).distinct()
+    by quantity, else the product's median price, else the median of all, else 0. ``sold`` is of ``months_sold``."""
+    months = sold.select(*_MONTHS).distinct()
+    priced = sold.select("product_code", F.inline("prices"))
+    own = priced.groupBy("product_code").agg(F.percentile("price", F.lit(0.5), F.col("n")).alias("own_price"))
+    every = global_quantiles(priced, "price", {"all_price": 0.5}, "n")
+    products = sold.groupBy("product_code").agg(F.max("group_name").alias("group_name"), F.max("color").alias("color")).join(own, "product_code", "left")
     # the calendar of observed months: at most 12 rows per year of history, so broadcast is bounded
-    products = fact.groupBy("product_code").agg(F.max("group_code").alias("group_name"), F.max("color").alias("color"), F.expr("median(case when unit_price > 0 then cast(unit_price as double) end)").alias("own_price"))
-    every = fact.where("unit_price > 0").agg(F.expr("median(cast(unit_price as double))").alias("all_price"))
     grid = products.crossJoin(F.broadcast(months)).crossJoin(F.broadcast(every))
     zero = {c: F.coalesce(c, F.lit(0.0)) for c in ("qty", "revenue")} | {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("order_count", "active_dealer_count")}
     price = F.when(F.col("qty") > 0, F.col("revenue") / F.col("qty")).otherwise(F.coalesce("own_price", "all_price", F.lit(0.0)))
-    return grid.join(sku_monthly(fact), ["product_code", *_MONTHS], "left").withColumns(zero).withColumn("avg_unit_price", price).drop("own_price", "all_price")
+    return grid.join(sold.drop("group_name", "color", "prices"), ["product_code", *_MONTHS], "left").withColumns(zero).withColumn("avg_unit_price", price).drop("own_price", "all_price")
+
+
+def panel(spark: SparkSession, d: str) -> DataFrame:
+    return panel_of(months_sold(spark, d))
 
 
 def sku_month_panel(spark: SparkSession, d: str) -> DataFrame:
@@ -64,42 +104,82 @@ def sku_rolling(spark: SparkSession, d: str) -> DataFrame:
     return p.select("product_code", *_MONTHS, *[c.alias(n) for n, c in means.items()], mom.alias("mom_qty_growth"))
 
 
+def with_year_before(p: DataFrame, sold: DataFrame) -> DataFrame:
+    """``p``, a panel, with the same month of the year before, by an equi join on the shifted year with what was sold."""
+    last = sold.select("product_code", (F.col("fiscal_year") + 1).alias("fiscal_year"), "fiscal_month", F.col("qty").alias("q0"), F.col("revenue").alias("r0"))
+    return p.join(last, ["product_code", *_MONTHS], "left").withColumns(
+        {
+            "same_month_qty_last_year": F.coalesce("q0", F.lit(0.0)), "same_month_revenue_last_year": F.coalesce("r0", F.lit(0.0)), "has_sku_yoy": (F.coalesce("q0", F.lit(0.0)) > 0).cast("int"),
+            "sku_yoy_qty_growth": growth(F.col("qty"), F.col("q0")), "sku_yoy_revenue_growth": growth(F.col("revenue"), F.col("r0")),
+        }
+    ).drop("q0", "r0")
+
+
 def sku_yoy(spark: SparkSession, d: str) -> DataFrame:
-    """The same month a year before, by an equi self join on the shifted year."""
-    p = panel(spark, d).select("product_code", *_MONTHS, "qty", "revenue")
-    last = p.select("product_code", (F.col("fiscal_year") + 1).alias("fiscal_year"), "fiscal_month", F.col("qty").alias("q0"), F.col("revenue").alias("r0"))
-    j = p.join(last, ["product_code", *_MONTHS], "left")
-    return j.select(
-        "product_code", *_MONTHS,
-        F.coalesce("q0", F.lit(0.0)).alias("same_month_qty_last_year"), F.coalesce("r0", F.lit(0.0)).alias("same_month_revenue_last_year"),
-        (F.coalesce("q0", F.lit(0.0)) > 0).cast("int").alias("has_sku_yoy"),
-        growth(F.col("qty"), F.col("q0")).alias("sku_yoy_qty_growth"), growth(F.col("revenue"), F.col("r0")).alias("sku_yoy_revenue_growth"),
-    )
+    sold = months_sold(spark, d)
+    return with_year_before(panel_of(sold), sold).select("product_code", *_MONTHS, "same_month_qty_last_year", "same_month_revenue_last_year", "has_sku_yoy", "sku_yoy_qty_growth", "sku_yoy_revenue_growth")
 
 
-def sku_share_in_group(spark: SparkSession, d: str) -> DataFrame:
-    """A product's share of its group's month. Group totals are aggregated and joined back, so a large group
-    is no large window; groups by month are few."""
-    p = panel(spark, d)
+def with_group_share(p: DataFrame) -> DataFrame:
+    """``p``, a panel, with the product's share of its group's month. Group totals are aggregated and joined back, so
+    a large group is no large window; groups by month are few."""
     totals = p.groupBy(*_MONTHS, "group_name").agg(F.sum(F.col("qty").cast("decimal(20,2)")).cast("double").alias("group_month_qty"), F.sum(F.col("revenue").cast("decimal(20,2)")).cast("double").alias("group_month_revenue"))
     t = totals.withColumnsRenamed({"group_name": "g", "fiscal_year": "y", "fiscal_month": "m"})
-    j = p.join(t, (F.col("fiscal_year") == F.col("y")) & (F.col("fiscal_month") == F.col("m")) & F.col("group_name").eqNullSafe(F.col("g")), "left")
-    share = {f"sku_{c}_share_in_group": F.when(F.col(f"group_month_{c}") > 0, F.col(c) / F.col(f"group_month_{c}")).otherwise(0.0) for c in ("qty", "revenue")}
-    return j.select("product_code", *_MONTHS, "group_month_qty", "group_month_revenue", *[c.alias(n) for n, c in share.items()])
+    j = p.join(t, (F.col("fiscal_year") == F.col("y")) & (F.col("fiscal_month") == F.col("m")) & F.col("group_name").eqNullSafe(F.col("g")), "left").drop("y", "m", "g")
+    return j.withColumns({f"sku_{c}_share_in_group": F.when(F.col(f"group_month_{c}") > 0, F.col(c) / F.col(f"group_month_{c}")).otherwise(0.0) for c in ("qty", "revenue")})
 
 
-def sku_outlier_flag(spark: SparkSession, d: str) -> DataFrame:
-    """Months outside 1.5 interquartile ranges of the product's own, where it has four months and a range."""
-    p = panel(spark, d).select("product_code", *_MONTHS, "qty")
+def sku_share_in_group(spark: SparkSession, d: str) -> DataFrame:
+    return with_group_share(panel(spark, d)).select("product_code", *_MONTHS, "group_month_qty", "group_month_revenue", "sku_qty_share_in_group", "sku_revenue_share_in_group")
+
+
+def with_outlier_flag(p: DataFrame) -> DataFrame:
+    """``p``, a panel, with outlier_flag: a month outside 1.5 interquartile ranges of the product's own, where it has
+    four months and a range."""
     q = p.groupBy("product_code").agg(F.percentile("qty", F.lit(0.25)).alias("q1"), F.percentile("qty", F.lit(0.75)).alias("q3"), F.count(F.lit(1)).alias("n"))
     iqr = F.col("q3") - F.col("q1")
     out = (F.col("n") >= 4) & (iqr > 0) & ((F.col("qty") < F.col("q1") - 1.5 * iqr) | (F.col("qty") > F.col("q3") + 1.5 * iqr))
-    return p.join(q, "product_code").select("product_code", *_MONTHS, out.cast("int").alias("outlier_flag"))
+    return p.join(q, "product_code").withColumn("outlier_flag", out.cast("int")).drop("q1", "q3", "n")
+
+
+def sku_outlier_flag(spark: SparkSession, d: str) -> DataFrame:
+    return with_outlier_flag(panel(spark, d)).select("product_code", *_MONTHS, "outlier_flag")
+
+
+# What counts as no value in a label, and the year from which on a product first sold is new.
+NO_LABEL, UNKNOWN, NEW_SINCE = ("", "<NA>", "Unknown"), "Unknown", 2001
+
+
+def labelled(column: str) -> Column:
+    return F.when(F.coalesce(F.trim(column), F.lit("")).isin(*NO_LABEL), UNKNOWN).otherwise(F.col(column))
+
+
+def sku_panel_features(spark: SparkSession, d: str, new_since: int = NEW_SINCE) -> DataFrame:
+    """The whole feature frame of the models: the panel with lags, means of past months, growth, group shares, the
+    year before, labels without gaps, flags of what is missing or odd, and the next month's quantity.
+
+    Quality flags: a missing group or colour, either of them as missing master data, no usable price or negative
+    figures, a first sale in ``new_since`` or later, an outlier month.
+    """
+    sold = months_sold(spark, d)
+    first = sold.where("qty > 0").groupBy("product_code").agg(F.min("fiscal_year").alias("first_sale_year"))
+    p = with_outlier_flag(with_group_share(with_year_before(panel_of(sold), sold))).join(first, "product_code", "left")
+    w = by_sku()
+    lags = {f"{c}_lag_{k}": F.coalesce(F.lag(c, k).over(w), F.lit(0.0)) for c in ("qty", "revenue") for k in (1, 2)}
+    means = {f"{c}_rolling_{k}": F.round(F.coalesce(F.avg(c).over(w.rowsBetween(-k, -1)), F.lit(0.0)), 6) for c in ("qty", "revenue") for k in (2, 3)}
+    mom = {f"mom_{c}_growth": growth(F.col(c), F.lag(c).over(w)) for c in ("qty", "revenue")}
+    no_group, no_color = F.col("group_name") == UNKNOWN, F.col("color") == UNKNOWN
+    odd = (F.col("qty") < 0) | (F.col("revenue") < 0) | (F.col("avg_unit_price") <= 0)
+    flags = {"missing_group_flag": no_group, "missing_color_flag": no_color, "missing_master_flag": no_group | no_color, "numeric_issue_flag": odd, "new_sku_flag": F.coalesce(F.col("first_sale_year") >= new_since, F.lit(False))}
+    ahead = {"qty_next_month": F.lead("qty").over(w)}
+    p = p.withColumns(lags | means | mom | ahead).withColumns({c: labelled(c) for c in ("group_name", "color")})
+    period = F.concat_ws("-", F.col("fiscal_year").cast("string"), F.lpad(F.col("fiscal_month").cast("string"), 2, "0"))
+    return p.withColumns({n: c.cast("int") for n, c in flags.items()}).withColumn("period", period).drop("first_sale_year")
 
 
 def group_monthly(spark: SparkSession, d: str) -> DataFrame:
     return fact_sales(spark, d).groupBy(*_MONTHS, "group_code").agg(
-        dsum("quantity").alias("qty"), dsum("line_total").alias("revenue"), F.countDistinct("so_number").alias("order_count"), F.countDistinct("customer_code").alias("active_customer_count"), davg("unit_price").alias("avg_unit_price")
+        dsum("quantity").alias("qty"), dsum("line_total").alias("revenue"), F.countDistinct("order_id").alias("order_count"), F.countDistinct("customer_code").alias("active_customer_count"), davg("unit_price").alias("avg_unit_price")
     )
 
 
@@ -115,7 +195,7 @@ def monthly_group_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def color_monthly(spark: SparkSession, d: str) -> DataFrame:
-    return fact_sales(spark, d).groupBy(*_MONTHS, F.coalesce("color", F.lit("UNKNOWN")).alias("color")).agg(dsum("quantity").alias("qty"), dsum("line_total").alias("revenue"), F.countDistinct("so_number").alias("order_count")).withColumn(
+    return fact_sales(spark, d).groupBy(*_MONTHS, F.coalesce("color", F.lit("UNKNOWN")).alias("color")).agg(dsum("quantity").alias("qty"), dsum("line_total").alias("revenue"), F.countDistinct("order_id").alias("order_count")).withColumn(
         "period", F.make_date("fiscal_year", "fiscal_month", F.lit(1))
     )
 
@@ -158,9 +238,8 @@ def features_of_customers(spark: SparkSession, d: str) -> DataFrame:
 
 def scored_customers(spark: SparkSession, d: str) -> DataFrame:
     """Quintiles of ranks, first come first in ties (by customer_code); rfm_score is 3 to 15."""
-    c = features_of_customers(spark, d)
-    n = fact_sales(spark, d).agg(F.countDistinct("customer_code").alias("n"))
-    c = cut(c.crossJoin(F.broadcast(n)))  # n is one row; ranked three times
+    c = cut(features_of_customers(spark, d))  # counted, and ranked three times
+    c = c.crossJoin(F.broadcast(c.agg(F.count(F.lit(1)).alias("n"))))  # n is one row
     for key, name in (("days_since_last_order", "recency_score"), ("order_frequency", "frequency_score"), ("total_revenue", "monetary_score")):
         c = global_row_number(c, [(key, False), ("customer_code", False)]).withColumn(name, quantile_bin(F.col("rn"), F.col("n"), 5)).drop("rn")
     return c.drop("n").withColumn("rfm_score", 6 - F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score"))
@@ -215,17 +294,17 @@ def bgnbd_summary(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        sku_month_panel, sku_price_fallback, sku_lags, sku_rolling, sku_yoy, sku_share_in_group, sku_outlier_flag, monthly_group_features, color_features,
+        sku_month_panel, sku_price_fallback, sku_lags, sku_rolling, sku_yoy, sku_share_in_group, sku_outlier_flag, sku_panel_features, monthly_group_features, color_features,
         customer_orders, customer_features, customer_rfm_qcut, rfm_features, bgnbd_summary,
     )
 }
 
 #: The panel for DuckDB, after FACT_SQL.
 PANEL_SQL = f"""{FACT_SQL},
-    pf as (select * from fact where product_code is not null),
+    pf as materialized (select * from fact where product_code is not null),
     pm as (select product_code, fiscal_year, fiscal_month, sum(quantity)::double as qty, sum(line_total)::double as revenue, count(distinct so_number) as order_count, count(distinct customer_code) as active_dealer_count from pf group by 1, 2, 3),
     pp as (select product_code, max(group_code) as group_name, max(color) as color, median(unit_price::double) filter (where unit_price > 0) as own_price from pf group by 1),
-    panel as (select p.product_code, p.group_name, p.color, m.fiscal_year, m.fiscal_month, coalesce(x.qty, 0) as qty, coalesce(x.revenue, 0) as revenue, coalesce(x.order_count, 0) as order_count,
+    panel as materialized (select p.product_code, p.group_name, p.color, m.fiscal_year, m.fiscal_month, coalesce(x.qty, 0) as qty, coalesce(x.revenue, 0) as revenue, coalesce(x.order_count, 0) as order_count,
         coalesce(x.active_dealer_count, 0) as active_dealer_count,
         case when x.qty > 0 then x.revenue / x.qty else coalesce(p.own_price, (select median(unit_price::double) from pf where unit_price > 0), 0) end as avg_unit_price
         from pp p cross join (select distinct fiscal_year, fiscal_month from pf) m left join pm x on x.product_code = p.product_code and x.fiscal_year = m.fiscal_year and x.fiscal_month = m.fiscal_month)"""
@@ -265,6 +344,21 @@ ORACLES = {
         select product_code, fiscal_year, fiscal_month, group_month_qty, group_month_revenue, case when group_month_qty > 0 then qty / group_month_qty else 0 end as sku_qty_share_in_group, case when group_month_revenue > 0 then revenue / group_month_revenue else 0 end as sku_revenue_share_in_group from g""",
     "sku_outlier_flag": f"""with {PANEL_SQL}, q as (select product_code, quantile_cont(qty, 0.25) as q1, quantile_cont(qty, 0.75) as q3, count(*) as n from panel group by 1)
         select p.product_code, fiscal_year, fiscal_month, (n >= 4 and q3 - q1 > 0 and (qty < q1 - 1.5 * (q3 - q1) or qty > q3 + 1.5 * (q3 - q1)))::int as outlier_flag from panel p join q on p.product_code = q.product_code""",
+    "sku_panel_features": f"""with {PANEL_SQL}, q as (select product_code, quantile_cont(qty, 0.25) as q1, quantile_cont(qty, 0.75) as q3, count(*) as n from panel group by 1),
+        first as (select product_code, min(fiscal_year) filter (where qty > 0) as y0 from pm group by 1),
+        x as (select p.*, coalesce(l.qty, 0) as q0, coalesce(l.revenue, 0) as r0, q1, q3, n, y0,
+            (sum(p.qty::decimal(20,2)) over (partition by p.fiscal_year, p.fiscal_month, p.group_name))::double as group_month_qty, (sum(p.revenue::decimal(20,2)) over (partition by p.fiscal_year, p.fiscal_month, p.group_name))::double as group_month_revenue
+            from panel p join q on q.product_code = p.product_code join first f on f.product_code = p.product_code left join pm l on l.product_code = p.product_code and l.fiscal_year + 1 = p.fiscal_year and l.fiscal_month = p.fiscal_month)
+        select product_code, case when coalesce(trim(group_name), '') in ('', '<NA>') then 'Unknown' else group_name end as group_name, case when coalesce(trim(color), '') in ('', '<NA>') then 'Unknown' else color end as color, fiscal_year, fiscal_month,
+            qty, revenue, order_count, active_dealer_count, avg_unit_price, q0 as same_month_qty_last_year, r0 as same_month_revenue_last_year, (q0 > 0)::int as has_sku_yoy,
+            case when q0 > 0 then (qty - q0) / q0 else 0 end as sku_yoy_qty_growth, case when r0 > 0 then (revenue - r0) / r0 else 0 end as sku_yoy_revenue_growth, group_month_qty, group_month_revenue,
+            case when group_month_qty > 0 then qty / group_month_qty else 0 end as sku_qty_share_in_group, case when group_month_revenue > 0 then revenue / group_month_revenue else 0 end as sku_revenue_share_in_group,
+            (n >= 4 and q3 - q1 > 0 and (qty < q1 - 1.5 * (q3 - q1) or qty > q3 + 1.5 * (q3 - q1)))::int as outlier_flag,
+            {", ".join(f"coalesce(lag({c}, {k}) {_W}, 0) as {c}_lag_{k}, round(coalesce(avg({c}) {_WK.format(k + 1)}, 0), 6) as {c}_rolling_{k + 1}" for c in ("qty", "revenue") for k in (1, 2))},
+            {", ".join(f"case when lag({c}) {_W} > 0 then ({c} - lag({c}) {_W}) / lag({c}) {_W} else 0 end as mom_{c}_growth" for c in ("qty", "revenue"))}, lead(qty) {_W} as qty_next_month,
+            (coalesce(trim(group_name), '') in ('', '<NA>', 'Unknown'))::int as missing_group_flag, (coalesce(trim(color), '') in ('', '<NA>', 'Unknown'))::int as missing_color_flag,
+            (coalesce(trim(group_name), '') in ('', '<NA>', 'Unknown') or coalesce(trim(color), '') in ('', '<NA>', 'Unknown'))::int as missing_master_flag, (qty < 0 or revenue < 0 or avg_unit_price <= 0)::int as numeric_issue_flag,
+            coalesce(y0 >= {NEW_SINCE}, false)::int as new_sku_flag, fiscal_year::varchar || '-' || lpad(fiscal_month::varchar, 2, '0') as period from x""",
     "monthly_group_features": f"""with {GROUP_SQL} select *, coalesce(lag(qty, 1) {_GW}, 0) as qty_lag_1, coalesce(lag(qty, 2) {_GW}, 0) as qty_lag_2, round(coalesce(avg(qty) {_G3}, 0), 4) as qty_rolling_3,
         coalesce(lag(revenue, 1) {_GW}, 0) as revenue_lag_1, coalesce(lag(revenue, 2) {_GW}, 0) as revenue_lag_2, round(coalesce(avg(revenue) {_G3}, 0), 4) as revenue_rolling_3,
         round(sin(2 * pi() * fiscal_month / 12), 6) + 0.0::double as month_sin, round(cos(2 * pi() * fiscal_month / 12), 6) + 0.0::double as month_cos, make_date(fiscal_year, fiscal_month, 1) as period from gm""",

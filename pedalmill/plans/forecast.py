@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pedalmill.operators.global_rank import global_row_number
+from pedalmill.operators.global_rank import global_quantiles, global_row_number
 from pedalmill.plans.features import COLOR_SQL, GROUP_SQL, PANEL_SQL, by_sku, color_monthly, group_monthly, panel
 from pedalmill.session import cut
 
@@ -23,21 +23,26 @@ STEPS = 3
 MODELS = ("naive", "rolling_2m", "rolling_3m", *(f"ewma_{a}" for a in ALPHAS))
 
 
-def benchmark_frame(spark: SparkSession, d: str) -> DataFrame:
-    """Rows that have a next month, with every benchmark's prediction of it, none below 0."""
-    p = panel(spark, d).select(
-        "product_code", "group_name", "fiscal_year", "fiscal_month", "qty",
-        F.lag("qty").over(by_sku()).alias("lag_1"), F.lead("qty").over(by_sku()).alias("actual"),
-        *[F.avg("qty").over(by_sku().rowsBetween(-k, -1)).alias(f"mean_{k}") for k in (2, 3)],
-    )
+def stepped(p: DataFrame) -> DataFrame:
+    """``p``, a panel, with the month before, the means of the two and three before it, and the next month as actual."""
+    means = {f"mean_{k}": F.avg("qty").over(by_sku().rowsBetween(-k, -1)) for k in (2, 3)}
+    return p.withColumns({"lag_1": F.lag("qty").over(by_sku()), "actual": F.lead("qty").over(by_sku())} | means)
+
+
+def benchmark_frame(p: DataFrame) -> DataFrame:
+    """Rows of a ``stepped`` panel that have a next month, with every benchmark's prediction of it, none below 0."""
     floor = lambda c: F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0))
     preds = {"naive": floor(F.col("qty")), "rolling_2m": floor(F.col("mean_2")), "rolling_3m": floor(F.col("mean_3"))}
     preds |= {f"ewma_{a}": floor(F.lit(a) * F.col("qty") + F.lit(1 - a) * F.coalesce("lag_1", F.lit(0.0))) for a in ALPHAS}
     return p.where("actual is not null").select("product_code", "group_name", "fiscal_year", "fiscal_month", "actual", *[c.alias(n) for n, c in preds.items()])
 
 
+def held_out_of(p: DataFrame) -> DataFrame:
+    return benchmark_frame(p).where(F.col("fiscal_month") == TEST_MONTH)
+
+
 def held_out(spark: SparkSession, d: str) -> DataFrame:
-    return benchmark_frame(spark, d).where(F.col("fiscal_month") == TEST_MONTH)
+    return held_out_of(stepped(panel(spark, d)))
 
 
 def long_form(frame: DataFrame) -> DataFrame:
@@ -94,25 +99,27 @@ def topk_hit_rate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def selected_model(spark: SparkSession, d: str) -> DataFrame:
-    """The benchmark with the least WMAPE, then MAE, RMSE and name."""
-    return forecast_metrics(spark, d).orderBy("wmape", "mae", "rmse", "model").limit(1).select("model", "wmape", "mae", "rmse", "smape")
+    """The benchmark with the least WMAPE, then MAE and RMSE, then with the best hits among the twenty, then by name."""
+    rows = cut(long_form(held_out(spark, d)))  # used for the errors and twice for the ranks
+    hits = hit_rate(rows, 20)
+    m = metrics(rows).join(hits, "model", "left").na.fill(0.0, ["top20_hit_rate"])
+    return m.orderBy("wmape", "mae", "rmse", F.col("top20_hit_rate").desc(), "model").limit(1).select("model", "wmape", "mae", "rmse", "smape", "top20_hit_rate")
 
 
-def calibration(spark: SparkSession, d: str) -> DataFrame:
-    g = held_out(spark, d).groupBy("group_name").agg(F.round(F.sum("actual"), 4).alias("actual_qty"), F.round(F.sum(f"`ewma_{ALPHA}`"), 4).alias("pred_qty"))
+def calibration_of(test: DataFrame) -> DataFrame:
+    g = test.groupBy("group_name").agg(F.round(F.sum("actual"), 4).alias("actual_qty"), F.round(F.sum(f"`ewma_{ALPHA}`"), 4).alias("pred_qty"))
     raw = F.when(F.col("pred_qty") > 0, F.col("actual_qty") / F.col("pred_qty")).otherwise(1.0)
     return g.withColumn("raw_factor", raw).withColumn("factor", F.least(F.lit(1.1), F.greatest(F.lit(0.9), 1 + 0.5 * (F.col("raw_factor") - 1))))
 
 
 def group_calibration(spark: SparkSession, d: str) -> DataFrame:
-    return calibration(spark, d)
+    return calibration_of(held_out(spark, d))
 
 
-def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
+def recursive_forecast(p: DataFrame) -> DataFrame:
     """The three months after the last observed one, each from the two before it. The recursion is unrolled
-    into columns: no loop, no growing plan."""
-    p = panel(spark, d).select("product_code", "group_name", "color", "fiscal_year", "fiscal_month", "qty", "avg_unit_price", F.coalesce(F.lag("qty").over(by_sku()), F.lit(0.0)).alias("lag_1"))
-    last = p.groupBy("product_code").agg(F.max_by(F.struct("group_name", "color", "fiscal_year", "fiscal_month", "qty", "lag_1", "avg_unit_price"), F.col("fiscal_year") * 12 + F.col("fiscal_month")).alias("s")).select("product_code", "s.*")
+    into columns: no loop, no growing plan. ``p`` is a ``stepped`` panel, in which every product has every month."""
+    last = p.where("actual is null").withColumn("lag_1", F.coalesce("lag_1", F.lit(0.0)))  # the last month has no next one
     steps: list[Column] = [F.col("lag_1"), F.col("qty")]
     for _ in range(STEPS):
         steps.append(F.greatest(F.lit(ALPHA) * steps[-1] + F.lit(1 - ALPHA) * steps[-2], F.lit(0.0)))
@@ -126,14 +133,19 @@ def recursive_forecast(spark: SparkSession, d: str) -> DataFrame:
 
 
 def recursive_ewma_forecast(spark: SparkSession, d: str) -> DataFrame:
-    return recursive_forecast(spark, d)
+    return recursive_forecast(stepped(panel(spark, d)))
 
 
 def scenarios(spark: SparkSession, d: str) -> DataFrame:
     """Calibrated forecasts with a margin of the error seen, between 5 and 20 percent."""
-    smape = metrics(long_form(held_out(spark, d)).where(F.col("model") == f"ewma_{ALPHA}")).select(F.least(F.lit(0.20), F.greatest(F.lit(0.05), F.col("smape") / 100)).alias("margin"))
-    c = calibration(spark, d).select(F.col("group_name").alias("g"), "factor")
-    f = recursive_forecast(spark, d)
+    return scenarios_of(stepped(panel(spark, d)))
+
+
+def scenarios_of(p: DataFrame) -> DataFrame:
+    test = held_out_of(p)
+    smape = metrics(test.select(F.lit("ewma").alias("model"), "actual", F.col(f"`ewma_{ALPHA}`").alias("pred"))).select(F.least(F.lit(0.20), F.greatest(F.lit(0.05), F.col("smape") / 100)).alias("margin"))
+    c = calibration_of(test).select(F.col("group_name").alias("g"), "factor")
+    f = recursive_forecast(p)
     base = (
         f.join(c, f["group_name"].eqNullSafe(c["g"]), "left")
         .crossJoin(F.broadcast(smape))  # one row
@@ -175,8 +187,8 @@ def sku_rank(spark: SparkSession, d: str) -> DataFrame:
 
 def top20_sku(spark: SparkSession, d: str) -> DataFrame:
     """The twenty largest with the reasons that hold, thresholds at the upper quartiles of all."""
-    f = forecast_sku(spark, d)
-    q = f.agg(F.percentile("forecast_qty", F.lit(0.75)).alias("q_qty"), F.percentile("forecast_revenue", F.lit(0.75)).alias("q_rev"))
+    f = cut(forecast_sku(spark, d))  # ranged twice for the quartiles
+    q = global_quantiles(f, "forecast_qty", {"q_qty": 0.75}).crossJoin(global_quantiles(f, "forecast_revenue", {"q_rev": 0.75}))  # one row each
     top = f.orderBy(F.col("forecast_qty").desc(), F.col("forecast_revenue").desc(), "product_code").limit(20)
     said = F.concat_ws(", ", F.when(F.col("forecast_qty") >= F.col("q_qty"), "high volume"), F.when(F.col("forecast_revenue") >= F.col("q_rev"), "high revenue"), F.when(F.col("group_name").isNull(), "check master data"))
     return top.crossJoin(F.broadcast(q)).select("product_code", "forecast_qty", "forecast_revenue", F.when(said == "", "stable demand").otherwise(said).alias("reason"))  # q is one row
@@ -184,8 +196,9 @@ def top20_sku(spark: SparkSession, d: str) -> DataFrame:
 
 def actual_plus_forecast(spark: SparkSession, d: str) -> DataFrame:
     """Months as sold and as forecast in one series."""
-    sold = panel(spark, d).groupBy("fiscal_year", "fiscal_month").agg(F.round(F.sum("qty"), 2).alias("qty")).withColumn("kind", F.lit("actual"))
-    ahead = scenarios(spark, d).groupBy("fiscal_year", "fiscal_month").agg(F.round(F.sum("forecast_qty_base"), 2).alias("qty")).withColumn("kind", F.lit("forecast"))
+    p = panel(spark, d)
+    sold = p.groupBy("fiscal_year", "fiscal_month").agg(F.round(F.sum("qty"), 2).alias("qty")).withColumn("kind", F.lit("actual"))
+    ahead = scenarios_of(stepped(p)).groupBy("fiscal_year", "fiscal_month").agg(F.round(F.sum("forecast_qty_base"), 2).alias("qty")).withColumn("kind", F.lit("forecast"))
     return sold.unionByName(ahead)
 
 
@@ -312,7 +325,7 @@ ORACLES = {
     "benchmark_predictions": f"with {BENCH_SQL} select * from rows_",
     "forecast_metrics": f"with {BENCH_SQL} select * from met",
     "topk_hit_rate": f"with {BENCH_SQL}, {_RANKED} select model, (count(*) filter (where ra <= 10 and rp <= 10))::double / 10 as top10_hit_rate, (count(*) filter (where ra <= 20 and rp <= 20))::double / 20 as top20_hit_rate from ranked group by 1",
-    "selected_model": f"with {BENCH_SQL} select model, wmape, mae, rmse, smape from met order by wmape, mae, rmse, model limit 1",
+    "selected_model": f"with {BENCH_SQL}, {_RANKED}, h as (select model, (count(*) filter (where ra <= 20 and rp <= 20))::double / 20 as top20_hit_rate from ranked group by 1) select model, wmape, mae, rmse, smape, top20_hit_rate from met join h using (model) order by wmape, mae, rmse, top20_hit_rate desc, model limit 1",
     "group_calibration": f"with {BENCH_SQL} select * from cal",
     "recursive_ewma_forecast": f"with {FUTURE_SQL} select * from rec",
     "forecast_monthly": f"with {FUTURE_SQL} select fiscal_year, fiscal_month, {_SQL_SUMS} from scen group by 1, 2",

@@ -132,3 +132,24 @@ class TestStreams:
         assert rows(spark.table("w")) == rows(windowed_counts(df))
 
 
+
+
+@pytest.mark.parametrize("name", ["sku_month_panel", "sku_yoy", "sku_lags", "forecast_monthly", "top20_sku", "actual_plus_forecast"])
+def test_reports_read_the_lines_once(spark, monkeypatch, name):
+    """What the query's own plan and the plans it writes on its way read of the lines, together."""
+    from pedalmill.plans import features, forecast
+
+    scans = []
+
+    def counted(df, eager=True):
+        scans.append(df._jdf.queryExecution().sparkPlan().toString().count("l_orderkey"))
+        return cut(df, eager)
+
+    cut = features.cut
+    for module in (features, forecast):
+        monkeypatch.setattr(module, "cut", counted)
+    import __spark_entry__ as entry
+
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    reads = [p for p in [*scans] if p]
+    assert len(reads) == 1 and "l_orderkey" not in plan
