@@ -12,11 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalmill.llm.components import connected_components
-from pedalmill.llm.edit import BKTree, damerau, plain
+from pedalmill.llm.edit import damerau, plain
+from pedalmill.llm.similar import jaro_winkler, lost_letters
+from pedalmill.llm.vocabulary import Words, with_infos
+from pedalmill.operators.skew import salted_left_join
 from pedalmill.session import cut, spread
 
-# What is said of legal form, line of business, title or role, and not of the name. The
-# table also serves as the nickname table: an entry and its short forms stand for the same.
+# Nicknames and short forms in which names are written, and the name they stand for.
+NICKNAMES = {
+    "ng": "nguyen", "ngx": "nguyen", "tr": "tran", "ph": "pham", "hg": "hoang", "bill": "william", "bob": "robert", "rob": "robert", "dick": "richard", "rick": "richard", "mike": "michael", "jim": "james", "joe": "joseph",
+    "tom": "thomas", "tony": "anthony", "ted": "edward", "liz": "elizabeth", "kate": "katherine", "peggy": "margaret", "jack": "john", "chuck": "charles", "hank": "henry", "alex": "alexander",
+}
+# What is said of legal form, line of business, title or role, and not of the name, with its short forms.
 SAID = {
     "cong ty": ("cong ty", "cty", "ct", "c ty"),
     "trach nhiem huu han": ("trach nhiem huu han", "tnhh", "t n h h"),
@@ -51,14 +58,8 @@ for _p in _PHRASES:
 #: Phrases long enough to be known with a slip.
 _LOOSE = [p for p in _PHRASES if len(p) >= 2 and len("".join(p)) >= 6]
 
-#: A name has so many syllables.
-SYLLABLES = 4
-#: A syllable is known when it makes up this share of all syllables of names; at most 1 / share are known.
-KNOWN_SHARE = 1 / 5000
-#: A syllable is a slip of one that is so many times as frequent and one edit away.
-SLIP_RATIO = 8
-#: Jaro-Winkler similarity from which on two different spellings of a syllable may be the same.
-SIMILAR = 0.7
+#: Jaro-Winkler similarity from which on two syllables are alike.
+ALIKE = 0.5
 
 
 def tokens(name: str | None) -> list[str]:
@@ -115,84 +116,23 @@ def phonetic(syllable: str) -> str:
     return initial.get(head, head.upper()) + vowels.replace("y", "i")[:1] + final.get(tail, tail.upper())
 
 
-def jaro_winkler(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    reach = max(len(a), len(b)) // 2 - 1
-    used = [False] * len(b)
-    left: list[str] = []
-    for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not used[j] and b[j] == c:
-                used[j] = True
-                left.append(c)
-                break
-    right = [c for j, c in enumerate(b) if used[j]]
-    m = len(left)
-    if not m:
-        return 0.0
-    swaps = sum(x != y for x, y in zip(left, right, strict=True)) / 2
-    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
-    prefix = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: B905
-    return jaro + min(prefix, 4) * 0.1 * (1 - jaro)
-
-
-def lost_letters(typed: str, word: str) -> int:
-    """Letters in which ``typed`` differs from ``word`` of the same length, ``?`` standing for any."""
-    if len(typed) != len(word):
-        return len(word) + 1
-    return sum(a != b and a != "?" for a, b in zip(typed, word, strict=True))
-
-
-class Speller:
-    """Reads names with the syllables that the whole table knows."""
-
-    def __init__(self, counts: dict[str, int]) -> None:
-        self.counts = counts
-        self.tree = BKTree(sorted(counts))
-        self.seen: dict[str, tuple[str, ...]] = {}
-        self.known = frozenset(w for w in counts if self.spellings(w) == (w,))
-        self.longest = max(map(len, self.known), default=0)
-
-    def spellings(self, word: str) -> tuple[str, ...]:
-        """The known syllables that ``word`` may be meant for: itself where it is known and no slip."""
-        got = self.seen.get(word)
-        if got is None:
-            own = self.counts.get(word, 0)
-            near = [w for d, w in self.tree.search(word, 1) if d == 1 and self.counts[w] >= SLIP_RATIO * max(own, 1) and jaro_winkler(word, w) >= SIMILAR * (len(word) > 2)]
-            if not near and "?" in word:
-                near = sorted(w for w in self.counts if "?" not in w and lost_letters(word, w) <= 1)
-            got = tuple(near) or (word,)
-            self.seen[word] = got
-        return got
-
-    def split(self, word: str) -> list[str]:
-        """The two known syllables that ``word`` is run together from, or the word."""
-        if word in self.known or not 4 <= len(word) <= 2 * self.longest:
-            return [word]
-        cuts = [(word[:k], word[k:]) for k in range(2, len(word) - 1) if word[:k] in self.known and word[k:] in self.known]
-        if not cuts:
-            return [word]
-        return list(max(cuts, key=lambda c: (min(self.counts[c[0]], self.counts[c[1]]), c)))
-
-    def syllables(self, words: list[str]) -> list[str]:
-        """The name's own syllables, each once: after run-together ones are split, the four consecutive
-        words with most known syllables, the last such."""
-        whole = [s for w in words for s in (self.split(w) if self.spellings(w) == (w,) else [w])]
-        if len(set(whole)) > SYLLABLES:
-            whole = strip_slipped(whole, self.known)
-        own = list(dict.fromkeys(whole))
-        if len(own) > SYLLABLES:
-            scores = [(sum(w in self.known for w in own[i : i + SYLLABLES]), i) for i in range(len(own) - SYLLABLES + 1)]
-            i = max(scores)[1]
-            own = own[i : i + SYLLABLES]
-        return own
-
-    def keys(self, own: list[str]) -> list[str]:
-        """Every set of known syllables that the typed ones may be meant for, as sorted text."""
-        return sorted({" ".join(sorted(c)) for c in product(*[self.spellings(w) for w in own])})
+def syllables(words: list[str], told: Words, size: int | None = None) -> list[str]:
+    """The name's own syllables, each once: run-together ones are split, and where there are more than ``size``,
+    phrases with a slip are left out first and then all but the consecutive ``size`` words with most known ones,
+    the last such."""
+    whole = [s for w in words for s in (told.split(w) if told.spellings(w) == (w,) else [w])]
+    if size and len(set(whole)) > size:
+        whole = strip_slipped(whole, told.known)
+    own = list(dict.fromkeys(whole))
+    if size and len(own) > size:
+        i = max((sum(w in told.known for w in own[i : i + size]), i) for i in range(len(own) - size + 1))[1]
+        own = own[i : i + size]
+    return own
+
+
+def keys(own: list[str], told: Words) -> list[str]:
+    """Every set of known syllables that the typed ones may be meant for, as sorted text."""
+    return sorted({" ".join(sorted(c)) for c in product(*[told.spellings(w) for w in own])})
 
 
 def near(x: str, y: str, known: frozenset[str]) -> bool:
@@ -204,7 +144,8 @@ def near(x: str, y: str, known: frozenset[str]) -> bool:
 
 def same_dealer(a: list[str], b: list[str], known: frozenset[str]) -> float:
     """Mean Jaro-Winkler similarity of the syllables of two names in their best order, 0 where they are
-    another dealer's: another number of syllables, two different known syllables, or too far a spelling."""
+    another dealer's: another number of syllables, or a syllable that no other is alike to. Alike are two that are
+    not both known, by a similarity of ALIKE or more, and of these the edits are counted."""
     if len(a) != len(b) or not a:
         return 0.0
     rest_a, rest_b = sorted(set(a) - set(b)), sorted(set(b) - set(a))
@@ -212,7 +153,8 @@ def same_dealer(a: list[str], b: list[str], known: frozenset[str]) -> float:
         return 0.0
     total = float(len(a) - len(rest_a))
     while rest_a:
-        best = max(((jaro_winkler(x, y), x, y) for x in rest_a for y in rest_b if not (x in known and y in known) and near(x, y, known)), default=None)
+        likes = ((jaro_winkler(x, y), x, y) for x in rest_a for y in rest_b if not (x in known and y in known))
+        best = max((c for c in likes if c[0] >= ALIKE and near(c[1], c[2], known)), default=None)
         if best is None:
             return 0.0
         total += best[0]
@@ -221,15 +163,6 @@ def same_dealer(a: list[str], b: list[str], known: frozenset[str]) -> float:
     return total / len(a)
 
 
-def known_syllables(words: DataFrame, share: float = KNOWN_SHARE) -> dict[str, int]:
-    """{syllable: occurrences} of those in the array column ``words`` that make up ``share`` of all, twice
-    at least; so at most 1 / share come to the driver, whatever the table's size."""
-    counts = words.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("all"))
-    common = counts.crossJoin(F.broadcast(total)).where((F.col("n") >= F.col("all") * share) & (F.col("n") >= 2))  # total is one row
-    return {r.w: r.n for r in common.select("w", "n").collect()}
-
-
 def _name_words(names: pd.Series) -> pd.Series:
     out = []
     for n in names:
@@ -250,8 +183,9 @@ def may_be(x: str, y: str, known: frozenset[str]) -> bool:
     return x == y or (x not in known and y not in known) or (not (x in known and y in known) and (near(x, y, known) or damerau(x, y) <= 2))
 
 
-def grow(links: list[tuple], differs: Callable[[list[str], list[str]], bool]) -> dict[str, str]:
-    """{spelling: group}, the group's least spelling, of links (score, a, own_a, b, own_b, slip_b), a with a slip.
+def grow(links: list[tuple], differs: Callable[[list[str], list[str], frozenset[str]], bool]) -> dict[str, str]:
+    """{spelling: group}, the group's least spelling, of links (score, a, own_a, b, own_b, slip_b, sure), a with a slip,
+    sure the known ones of both.
 
     Groups grow along the links, the best first, at a tie those to a clean spelling, then by name. A link is
     left out only where the grown group would hold two spellings that differ for sure. All that do not
@@ -259,18 +193,19 @@ def grow(links: list[tuple], differs: Callable[[list[str], list[str]], bool]) ->
     """
     own: dict[str, list[str]] = {}
     clean: dict[str, str] = {}
-    for _, a, own_a, b, own_b, slip_b in links:
+    known = frozenset(w for link in links for w in link[6])
+    for _, a, own_a, b, own_b, slip_b, _ in links:
         own[a], own[b] = list(own_a), list(own_b)
         if not slip_b:
             clean[b] = b
     group = {x: x for x in own}
     members = {x: [x] for x in own}
-    for _, _, a, b in sorted((-round(score, 9), bool(slip_b), a, b) for score, a, _, b, _, slip_b in links):
+    for _, _, a, b in sorted((-round(score, 9), bool(slip_b), a, b) for score, a, _, b, _, slip_b, _ in links):
         x, y = group[a], group[b]
         if x == y:
             continue
         ours, theirs = ([clean[g]] if g in clean else members[g] for g in (x, y))
-        if any(differs(own[p], own[q]) for p in ours for q in theirs):
+        if any(differs(own[p], own[q], known) for p in ours for q in theirs):
             continue
         if len(members[x]) < len(members[y]):
             x, y = y, x
@@ -282,14 +217,14 @@ def grow(links: list[tuple], differs: Callable[[list[str], list[str]], bool]) ->
     return {q: least for ms in members.values() for least in [min(ms)] for q in ms}
 
 
-def settle(scored: DataFrame, differs: Callable[[list[str], list[str]], bool]) -> DataFrame:
-    """(node, component) of the spellings in the accepted pairs ``scored`` (a with a slip, own_a, b, own_b, slip_b, score).
+def settle(scored: DataFrame, differs: Callable[[list[str], list[str], frozenset[str]], bool]) -> DataFrame:
+    """(node, component) of the spellings in the accepted pairs ``scored`` (a with a slip, own_a, b, own_b, slip_b, sure, score).
 
     Every accepted pair is a link. A component whose spellings are all linked to its only clean one is a
     group; any other is grown link by link, so that it falls apart only where spellings differ for sure.
     Such a component comes to one worker; it has the spellings near to those of a few names.
     """
-    scored = cut(scored.select("a", "own_a", "b", "own_b", "slip_b", "score"))  # used twice
+    scored = cut(scored.select("a", "own_a", "b", "own_b", "slip_b", "sure", "score"))  # used twice
     groups = connected_components(scored.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     links = scored.join(groups.withColumnRenamed("node", "a"), "a")
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
@@ -297,67 +232,64 @@ def settle(scored: DataFrame, differs: Callable[[list[str], list[str]], bool]) -
     sure = sizes.join(led, "component").where("clean = 1 and led + clean = nodes").select("component")
 
     def apart(rows: pd.DataFrame) -> pd.DataFrame:
-        found = grow(list(rows[["score", "a", "own_a", "b", "own_b", "slip_b"]].itertuples(index=False, name=None)), differs)
+        found = grow(list(rows[["score", "a", "own_a", "b", "own_b", "slip_b", "sure"]].itertuples(index=False, name=None)), differs)
         return pd.DataFrame(sorted(found.items()), columns=["node", "component"])
 
     grown = links.join(sure, "component", "left_anti").groupBy("component").applyInPandas(apart, "node string, component string")
     return groups.join(sure, "component", "left_semi").select("node", "component").unionByName(grown)
 
 
-def cluster_names(rows: DataFrame, ident: str, name: str, share: float = KNOWN_SHARE) -> DataFrame:
+def cluster_names(rows: DataFrame, ident: str, name: str, size: int | None = None, nicknames: dict[str, str] | None = None) -> DataFrame:
     """(ident, dealer): a dealer id, as text, for every row of ``rows`` whose ``name`` names a dealer.
 
-    Rows with the same dealer id have names of the same four syllables, in any order, slips and
-    run-together syllables allowed, whatever is said of legal form, trade or title. Null, empty and
+    Rows with the same dealer id have names of the same syllables, in any order, slips, run-together syllables and
+    ``nicknames`` (NICKNAMES by default) allowed, whatever is said of legal form, trade or title. ``size``: a proper
+    name has so many syllables at most; what else a longer one holds is left out. Null, empty and
     blank names, those of nobody (Khách lẻ) and names of less than two syllables are left out. Rows come
     out as often as they come in; other columns are ignored.
 
-    Distinct syllable sets stand for their copies. Each is blocked by the phonetic codes of its sorted
+    Distinct names stand for their copies. What is known of their words is counted over the whole table
+    (``vocabulary``). Each set of syllables is blocked by the phonetic codes of its sorted
     syllables, slips standing for every known syllable they may be meant for, so that a block holds the
     spellings of hardly more than one name; typed sets with a slip are compared within their blocks and
     linked to all that they match, and links are closed by connected components, which fall apart only where
     they hold spellings of two names (``settle``).
     """
-    spark = rows.sparkSession
     named = spread(rows.select(F.col(ident).alias("id"), F.col(name).alias("name")).where("id is not null and name is not null"))
-    words = named.withColumn("words", F.pandas_udf(_name_words, "array<string>")("name"))
-    words = cut(words.select("id", "words"))  # read once for the syllables and once for the names
-    counts = known_syllables(words, share)
-    shared = spark.sparkContext.broadcast(counts)  # at most 1 / share entries
-    sure = spark.sparkContext.broadcast(Speller(counts).known)
-
-    @F.pandas_udf("struct<own:array<string>,keys:array<string>,codes:array<string>,slip:boolean>")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        speller = Speller(shared.value)
-        for batch in batches:
+    words = named.withColumn("words", F.pandas_udf(_name_words, "array<string>")("name")).withColumn("key", F.array_join("words", " "))
+    words = cut(words.select("id", "key", "words").where("key <> ''"))  # read once for the names and once for their ids
+    lists = cut(words.groupBy("key").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("times")))  # equal for equal keys
+    told = with_infos(lists, "key", "words", "times", NICKNAMES if nicknames is None else nicknames)
+
+    @F.pandas_udf("struct<own:array<string>,codes:array<string>,slip:boolean,sure:array<string>>")
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for lists_, infos in batches:
             out = []
-            for ws in batch:
-                own = sorted(speller.syllables(list(ws)))
-                keys = speller.keys(own) if len(own) >= 2 else []
-                codes = sorted({" ".join(sorted(phonetic(s) for s in k.split())) for k in keys})
-                out.append((own, keys, codes, any(w not in speller.known for w in own)))
-            yield pd.DataFrame(out, columns=["own", "keys", "codes", "slip"])
-
-    typed = words.withColumn("r", read("words")).select("id", "r.own", "r.codes", "r.slip").where(F.size("own") >= 2)
+            for ws, info in zip(lists_, infos, strict=True):
+                said = Words(info)
+                own = sorted(syllables(list(ws), said, size))
+                codes = {" ".join(sorted(phonetic(s) for s in k.split())) for k in keys(own, said)} if len(own) >= 2 else ()
+                out.append((own, sorted(codes), any(w not in said.known for w in own), [w for w in own if w in said.known]))
+            yield pd.DataFrame(out, columns=["own", "codes", "slip", "sure"])
+
+    typed = told.withColumn("r", read("words", "infos")).select("key", "r.*").where(F.size("own") >= 2)
     typed = cut(typed.withColumn("rep", F.array_join("own", " ")))  # used three times
-    reps = typed.groupBy("rep").agg(F.first("own").alias("own"), F.first("codes").alias("codes"), F.first("slip").alias("slip"))  # equal for equal reps
-    blocks = reps.select("rep", "own", "slip", F.explode("codes").alias("code"))
-    slips = blocks.where("slip").select(F.col("rep").alias("a"), F.col("own").alias("own_a"), "code")
-    others = blocks.select(F.col("rep").alias("b"), F.col("own").alias("own_b"), F.col("slip").alias("slip_b"), "code")
-    pairs = slips.join(others, "code").where("a <> b").select("a", "own_a", "b", "own_b", "slip_b").distinct()
+    reps = typed.groupBy("rep").agg(*[F.first(c).alias(c) for c in ("own", "codes", "slip", "sure")])  # equal for equal reps
+    blocks = reps.select("rep", "own", "slip", "sure", F.explode("codes").alias("code"))
+    slips = blocks.where("slip").select(F.col("rep").alias("a"), F.col("own").alias("own_a"), F.col("sure").alias("sure_a"), "code")
+    others = blocks.select(F.col("rep").alias("b"), F.col("own").alias("own_b"), F.col("slip").alias("slip_b"), F.col("sure").alias("sure_b"), "code")
+    pairs = slips.join(others, "code").where("a <> b").withColumn("sure", F.array_union("sure_a", "sure_b")).select("a", "own_a", "b", "own_b", "slip_b", "sure").distinct()
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in batches:
-            yield pd.Series([same_dealer(list(x), list(y), sure.value) for x, y in zip(a, b, strict=True)])
-
-    scored = pairs.withColumn("score", score("own_a", "own_b")).where("score > 0")
-    groups = settle(scored, lambda x, y: differ(x, y, sure.value))
-    return (
-        typed.select("id", "rep")
-        .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(F.col("id").alias(ident), F.coalesce("component", "rep").alias("dealer"))
-    )
+    def score(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b, sure in batches:
+            yield pd.Series([same_dealer(list(x), list(y), frozenset(k)) for x, y, k in zip(a, b, sure, strict=True)], dtype=float)
+
+    scored = pairs.withColumn("score", score("own_a", "own_b", "sure")).where("score > 0")
+    groups = settle(scored, differ)
+    dealers = typed.select("key", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("dealer"))
+    # a third of the rows may have one name
+    return salted_left_join(words.select("id", "key"), dealers, ["key"], ["id"]).where("dealer is not null").select(F.col("id").alias(ident), "dealer")
 
 
 def pairs_within(members: DataFrame, ident: str, group: str) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import partial
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pedalmill.llm.address import Address, parse
 from pedalmill.llm.mixture import mix
 from pedalmill.llm.names import cluster_names, pairs_within
-from pedalmill.llm.reference_map import map_to_reference, spelling
+from pedalmill.llm.reference_map import PHRASES, map_to_reference, spelling
 from pedalmill.llm.residue import find_residue
 from pedalmill.llm.same_address import cluster_addresses
 from pedalmill.llm.tokenizer import with_ids
@@ -26,30 +27,40 @@ def _provinces(spark: SparkSession, d: str) -> DataFrame:
     return names.unionByName(bare).where("id is not null and name is not null").distinct()
 
 
+#: Names that the address parser may be told; a longer list of provinces is an error.
+MOST_NAMES = 100_000
+
+
 def _reader(provinces: DataFrame) -> partial[Address]:
     """The address parser, told the provinces' names that look like other parts of an address."""
-    tricky = provinces.select("name").limit(100_000).collect()  # two fixed tables, of under 100 names
-    names = frozenset(spelling(r.name) for r in tricky)
-    dotted = frozenset(spelling(r.name) for r in tricky if "." in r.name and len(r.name.split(".")[0].strip()) == 1)
+    told = provinces.select("name").limit(MOST_NAMES + 1).collect()  # two fixed tables, of under 100 names
+    if len(told) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names of provinces")
+    names = frozenset(spelling(r.name) for r in told)
+    dotted = frozenset(spelling(r.name) for r in told if "." in r.name and len(r.name.split(".")[0].strip()) == 1)
     return partial(parse, names=names, dotted=dotted)
 
 
-def _phrases(read: partial[Address], text: str | None) -> list[tuple[str, bool]]:
-    return read(text).phrases
+def placed_customers(spark: SparkSession, d: str) -> DataFrame:
+    """staging_customer with its address as read (number, mark, words, phrases) and the province found in it
+    (found_id, 0 where none). An address is read once."""
+    provinces = _provinces(spark, d)
+    reader = _reader(provinces)
 
+    def read(batch: pd.Series) -> pd.DataFrame:
+        parsed = [reader(a) for a in batch]
+        phrases = [[{"text": t, "marked": m} for t, m in p.phrases] for p in parsed]
+        return pd.DataFrame({"number": [p.number for p in parsed], "mark": [p.mark for p in parsed], "words": [list(p.street) for p in parsed], "phrases": phrases})
 
-def placed_customers(spark: SparkSession, d: str) -> tuple[DataFrame, partial[Address]]:
-    """staging_customer with the province found in its address (found_id, 0 where none), and the parser."""
-    provinces = _provinces(spark, d)
-    read = _reader(provinces)
     rows = spread(table(spark, d, "staging_customer").select("customer_code", "address", "province_id", "created_at"))
-    found = map_to_reference(rows, "address", provinces, partial(_phrases, read))
-    return found.withColumn("found_id", F.coalesce("match.id", F.lit(0))), read
+    told = rows.withColumn("p", F.pandas_udf(read, f"struct<number:string,mark:string,words:array<string>,phrases:{PHRASES}>")("address"))
+    found = map_to_reference(told.select(*rows.columns, "p.*"), "address", "phrases", provinces, ["customer_code"])
+    return found.withColumn("found_id", F.coalesce("match.id", F.lit(0)))
 
 
 def p1_map(spark: SparkSession, d: str) -> DataFrame:
     """Every staged customer with the province its address names, the name matched and its distance."""
-    found, _ = placed_customers(spark, d)
+    found = placed_customers(spark, d)
     return found.select(
         "customer_code",
         "address",
@@ -63,7 +74,7 @@ def p1_map(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Of a code delivered twice the row created last tells."""
-    found, _ = placed_customers(spark, d)
+    found = placed_customers(spark, d)
     last = F.max_by(F.struct("province_id", "found_id"), F.struct("created_at", "address", "province_id"))
     one = found.where("customer_code is not null").groupBy("customer_code").agg(last.alias("r"))
     wrong = F.col("r.province_id").isNull() | (F.col("r.province_id") != F.col("r.found_id"))
@@ -71,13 +82,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    found, read = placed_customers(spark, d)
-    places = cluster_addresses(found.where("found_id <> 0"), "customer_code", "address", "found_id", read)
-    return pairs_within(places, "customer_code", "place")
+    found = placed_customers(spark, d).where("found_id <> 0")
+    return pairs_within(cluster_addresses(found, "customer_code", "found_id", "number", "mark", "words"), "customer_code", "place")
+
+
+#: Syllables of a dealer's proper name.
+SYLLABLES = 4
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    dealers = cluster_names(table(spark, d, "staging_customer"), "customer_code", "customer_name")
+    dealers = cluster_names(table(spark, d, "staging_customer"), "customer_code", "customer_name", SYLLABLES)
     return pairs_within(dealers, "customer_code", "dealer")
 
 

@@ -10,9 +10,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalmill.llm.address import Address
 from pedalmill.llm.edit import damerau
-from pedalmill.llm.names import KNOWN_SHARE, Speller, known_syllables, may_be, near, settle
+from pedalmill.llm.names import may_be, near, settle
+from pedalmill.llm.vocabulary import Words, with_infos
+from pedalmill.operators.skew import salted_left_join
 from pedalmill.session import cut
 
 # Short forms of the words before a street's name and the word they stand for.
@@ -89,71 +90,64 @@ def align(a: list[tuple[str, str]], b: list[tuple[str, str]], known: frozenset[s
     return min(match[n][m], gap_a[n][m], gap_b[n][m])
 
 
-def cluster_addresses(placed: DataFrame, ident: str, address: str, province: str, parse: Callable[[str | None], Address], share: float = KNOWN_SHARE) -> DataFrame:
-    """(ident, place): a place id, as text, for every row whose address has a province, house number and street.
+def other_street(a: list[str], b: list[str], known: frozenset[str]) -> bool:
+    """Can two streets not be the same, whatever the slips?"""
+    return len(a) != len(b) or not all(may_be(v, w, known) for v, w in zip(a, b, strict=True))
 
-    Rows with the same place have the same house number in the same street of the same province; slips
-    and run-together syllables in the street's name, its marks and everything else may differ. Rows
-    without one of the three, null and empty addresses included, are left out. Rows come out as often as
-    they come in; other columns are ignored.
-
-    Distinct (province, number, street) stand for their copies. Streets of the same province and number
-    that meet in a band of their MinHash signatures are candidates, affine-gap alignment verifies them;
-    a spelling with a slip is linked to all that it matches, and links are closed by connected components,
-    which fall apart only where they hold two streets (``settle``).
-    """
-    spark = placed.sparkSession
 
-    def read(batch: pd.Series) -> pd.DataFrame:
-        parsed = [parse(a) for a in batch]
-        return pd.DataFrame({"number": [p.number for p in parsed], "mark": [p.mark for p in parsed], "words": [list(p.street) for p in parsed]})
+def cluster_addresses(placed: DataFrame, ident: str, province: str, number: str, mark: str, words: str) -> DataFrame:
+    """(ident, place): a place id, as text, for every row of read addresses with a province, house number and street.
+
+    Rows with the same place have the same house number in the same street of the same province; slips
+    and run-together syllables in the street's name (the array ``words``) and its ``mark`` may differ. Rows
+    without one of the three are left out. Rows come out as often as they come in; other columns are ignored.
 
+    Distinct (province, number, street) stand for their copies. What is known of the streets' words is counted over
+    the whole table. Streets of the same province and number that meet in a band of their MinHash signatures are
+    candidates, affine-gap alignment verifies them; a spelling with a slip is linked to all that it matches, and links
+    are closed by connected components, which fall apart only where they hold two streets (``settle``).
+    """
     parts = (
-        placed.select(F.col(ident).alias("id"), F.col(address).alias("address"), F.col(province).alias("province"))
-        .where("id is not null and province is not null and address is not null")
-        .withColumn("p", F.pandas_udf(read, "struct<number:string,mark:string,words:array<string>>")("address"))
-        .select("id", "province", "p.*")
-        .where((F.col("number") != "") & (F.size("words") > 0))
+        placed.select(F.col(ident).alias("id"), F.col(province).alias("province"), F.col(number).alias("number"), F.coalesce(F.col(mark), F.lit("")).alias("mark"), F.col(words).alias("words"))
+        .where((F.col("number") != "") & (F.size("words") > 0) & F.col("id").isNotNull() & F.col("province").isNotNull())
     )
-    parts = cut(parts)  # read once for the syllables and once for the streets
-    shared = spark.sparkContext.broadcast(known_syllables(parts, share))  # at most 1 / share entries
-    sure = spark.sparkContext.broadcast(Speller(shared.value).known)
+    parts = cut(parts)  # read once for the streets and once for the ids
+    streets = cut(parts.groupBy("words").agg(F.count(F.lit(1)).alias("times")).withColumn("street", F.array_join("words", " ")))
+    told = with_infos(streets, "street", "words", "times")
 
-    def spell(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        speller = Speller(shared.value)
-        for batch in batches:
+    def spell(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for lists, infos in batches:
             out = []
-            for words in batch:
-                typed = [s for w in unmarked(list(words), speller.known) for s in (speller.split(w) if speller.spellings(w) == (w,) else [w])]
-                out.append((typed, any(w not in speller.known for w in typed), signature(shingles(typed, speller.spellings))))
-            yield pd.DataFrame(out, columns=["street", "slip", "bands"])
-
-    spelt = parts.withColumn("s", F.pandas_udf(spell, "struct<street:array<string>,slip:boolean,bands:array<bigint>>")("words"))
-    spelt = spelt.select("id", "province", "number", "mark", "s.*").withColumn("rep", F.concat_ws("|", F.col("province").cast("string"), "number", F.array_join("street", " ")))
-    spelt = cut(spelt)  # used three times
-    reps = spelt.groupBy("rep").agg(
-        F.first("province").alias("province"), F.first("number").alias("number"), F.min("mark").alias("mark"), F.first("street").alias("street"), F.first("slip").alias("slip"), F.first("bands").alias("bands")
-    )  # equal for equal reps but the mark, of which the least is taken
-    banded = reps.select("rep", "province", "number", "mark", "street", "slip", F.posexplode("bands").alias("band", "hash"))
-    keys = ["province", "number", "band", "hash"]
-    slips = banded.where("slip").select(*keys, F.col("rep").alias("a"), F.col("mark").alias("mark_a"), F.col("street").alias("street_a"))
-    others = banded.select(*keys, F.col("rep").alias("b"), F.col("mark").alias("mark_b"), F.col("street").alias("street_b"), F.col("slip").alias("slip_b"))
-    pairs = slips.join(others, keys).where("a <> b").drop("band", "hash").distinct()
+            for typed, info in zip(lists, infos, strict=True):
+                said = Words(info)
+                own = [s for w in unmarked(list(typed), said.known) for s in (said.split(w) if said.spellings(w) == (w,) else [w])]
+                out.append((own, any(w not in said.known for w in own), signature(shingles(own, said.spellings)), [w for w in own if w in said.known]))
+            yield pd.DataFrame(out, columns=["own", "slip", "bands", "sure"])
+
+    spelt = told.withColumn("s", F.pandas_udf(spell, "struct<own:array<string>,slip:boolean,bands:array<bigint>,sure:array<string>>")("words", "infos")).select("street", "s.*")
+    keys = ["province", "number"]
+    typed = parts.groupBy(*keys, "words").agg(F.min("mark").alias("mark")).withColumn("street", F.array_join("words", " "))
+    # a third of the addresses may be in one street
+    typed = salted_left_join(typed.drop("words"), spelt, ["street"], keys).withColumn("rep", F.concat_ws("|", F.col("province").cast("string"), "number", F.array_join("own", " ")))
+    typed = cut(typed)  # used three times
+    reps = typed.groupBy("rep").agg(*[F.first(c).alias(c) for c in (*keys, "own", "slip", "bands", "sure")], F.min("mark").alias("mark"))  # equal for equal reps but the mark, of which the least is taken
+    banded = reps.select("rep", *keys, "mark", "own", "slip", "sure", F.posexplode("bands").alias("band", "hash"))
+    at = [*keys, "band", "hash"]
+    slips = banded.where("slip").select(*at, F.col("rep").alias("a"), F.col("mark").alias("mark_a"), F.col("own").alias("own_a"), F.col("sure").alias("sure_a"))
+    others = banded.select(*at, F.col("rep").alias("b"), F.col("mark").alias("mark_b"), F.col("own").alias("own_b"), F.col("slip").alias("slip_b"), F.col("sure").alias("sure_b"))
+    pairs = slips.join(others, at).where("a <> b").withColumn("sure", F.array_union("sure_a", "sure_b")).drop("band", "hash", "sure_a", "sure_b", "province").distinct()
 
     def verify(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for number, mark_a, street_a, mark_b, street_b in batches:
+        for numbers, *sides, sure in batches:
             costs = []
-            for n, ma, sa, mb, sb in zip(number, mark_a, street_a, mark_b, street_b, strict=True):
+            for n, ma, sa, mb, sb, known in zip(numbers, *sides, sure, strict=True):
                 a, b = ([("number", n), *([("mark", m)] if m else []), *(("street", w) for w in s)] for m, s in ((ma, sa), (mb, sb)))
-                costs.append(align(a, b, sure.value))
-            yield pd.Series(costs)
+                costs.append(align(a, b, frozenset(known)))
+            yield pd.Series(costs, dtype=float)
 
-    scored = pairs.withColumn("cost", F.pandas_udf(verify, "double")("number", "mark_a", "street_a", "mark_b", "street_b"))
+    scored = pairs.withColumn("cost", F.pandas_udf(verify, "double")("number", "mark_a", "own_a", "mark_b", "own_b", "sure"))
     scored = scored.where(F.col("cost") <= ACCEPT).withColumn("score", 10.0 - F.col("cost"))
-    scored = scored.withColumnsRenamed({"street_a": "own_a", "street_b": "own_b"})
-    groups = settle(scored, lambda x, y: len(x) != len(y) or not all(may_be(v, w, sure.value) for v, w in zip(x, y, strict=True)))
-    return (
-        spelt.select("id", "rep")
-        .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(F.col("id").alias(ident), F.coalesce("component", "rep").alias("place"))
-    )
+    groups = settle(scored, other_street)
+    places = typed.select(*keys, "street", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(*keys, "street", F.coalesce("component", "rep").alias("place"))
+    ids = parts.select("id", *keys, F.array_join("words", " ").alias("street"))
+    return salted_left_join(ids, places, [*keys, "street"], ["id"]).select(F.col("id").alias(ident), "place")
