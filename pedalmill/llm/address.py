@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import product
 
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from pedalmill.llm.edit import BKTree, damerau, plain
-from pedalmill.llm.reference_map import allowed
+from pedalmill.llm.reference_map import PHRASES, allowed
 
 # Words before the parts of an address. A word with accents must be typed with them or
 # without any; another accent is another word.
@@ -308,12 +313,22 @@ def _street_size(tokens: list[tuple[str, str, bool]], i: int, end: int, names: f
     if named:
         stop = min(named)[2]
     for k in range(first, stop):
-        slipped = k + 1 < end and (_slipped(tokens, k) or any("".join(t[1] for t in tokens[k : k + size]) in _DAMAGED for size in (2, 1)))
+        slipped = k + 1 < end and (_slipped_in_street(tokens, k, stop) or any("".join(t[1] for t in tokens[k : k + size]) in _DAMAGED for size in (2, 1)))
         if slipped or _mark(tokens, k)[0]:
             return k - i
     return stop - i
 
 
+def _slipped_in_street(tokens: list[tuple[str, str, bool]], k: int, stop: int) -> bool:
+    """Does a mark with a slip end the street at ``k``? Short ones are an edit from many a name's syllable (Minh, Xuân
+    and Tuấn from tỉnh and quận), so they are taken for marks only before a number or the province's name."""
+    found = _slipped(tokens, k)
+    if not found:
+        return False
+    after = k + found[1]
+    return sum(len(t[1]) for t in tokens[k:after]) > 5 or after == stop or (after < len(tokens) and tokens[after][1].isdigit())
+
+
 def _looks_marked(word: str) -> bool:
     return any(kind == "street" and damerau(word, mark) <= 1 for mark, kind in _LONG.items() if abs(len(mark) - len(word)) <= 1)
 
@@ -327,3 +342,16 @@ def _slipped(tokens: list[tuple[str, str, bool]], i: int) -> tuple[str, int] | N
             if kind in ("district", "ward", "province") and abs(len(mark) - len(joined)) <= 1 and damerau(joined, mark) <= 1:
                 return kind, size
     return None
+
+
+def with_parts(rows: DataFrame, address: str, reader: Callable[[str | None], Address]) -> DataFrame:
+    """``rows`` with number, mark, words (the street's) and phrases (what may name the province) of the column
+    ``address``, '' and empty arrays where it has none. Each address is read once."""
+
+    @F.pandas_udf(f"struct<number:string,mark:string,words:array<string>,phrases:{PHRASES}>")
+    def read(batch: pd.Series) -> pd.DataFrame:
+        parsed = [reader(a) for a in batch]
+        phrases = [[{"text": t, "marked": m} for t, m in p.phrases] for p in parsed]
+        return pd.DataFrame({"number": [p.number for p in parsed], "mark": [p.mark for p in parsed], "words": [list(p.street) for p in parsed], "phrases": phrases})
+
+    return rows.withColumn("__p", read(address)).select(*rows.columns, "__p.*")

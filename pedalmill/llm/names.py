@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pedalmill.llm.components import connected_components
 from pedalmill.llm.edit import damerau, plain
-from pedalmill.llm.similar import jaro_winkler, lost_letters
+from pedalmill.llm.similar import LONG, likeness, lost_letters, rests
 from pedalmill.llm.vocabulary import Words, with_infos
 from pedalmill.operators.skew import salted_left_join
 from pedalmill.session import cut, spread
@@ -139,7 +139,15 @@ def near(x: str, y: str, known: frozenset[str]) -> bool:
     """May two syllables, not both known, be spellings of the same?"""
     if "?" in x + y and min(lost_letters(x, y), lost_letters(y, x)) <= 1:
         return True
-    return damerau(x, y) <= (1 if x in known or y in known else 2)
+    return edits(x, y) <= (1 if x in known or y in known else 2)
+
+
+def edits(x: str, y: str) -> int:
+    """Their distance; of long words that of what differs, where a great difference is far enough."""
+    if max(len(x), len(y)) <= LONG:
+        return damerau(x, y)
+    x, y = rests(x, y)
+    return damerau(x, y) if max(len(x), len(y)) <= LONG else LONG
 
 
 def same_dealer(a: list[str], b: list[str], known: frozenset[str]) -> float:
@@ -153,7 +161,7 @@ def same_dealer(a: list[str], b: list[str], known: frozenset[str]) -> float:
         return 0.0
     total = float(len(a) - len(rest_a))
     while rest_a:
-        likes = ((jaro_winkler(x, y), x, y) for x in rest_a for y in rest_b if not (x in known and y in known))
+        likes = ((likeness(x, y), x, y) for x in rest_a for y in rest_b if not (x in known and y in known))
         best = max((c for c in likes if c[0] >= ALIKE and near(c[1], c[2], known)), default=None)
         if best is None:
             return 0.0
@@ -180,7 +188,7 @@ def differ(a: list[str], b: list[str], known: frozenset[str]) -> bool:
 
 def may_be(x: str, y: str, known: frozenset[str]) -> bool:
     """May two syllables be meant for the same, with more slips than ``near`` takes as proof?"""
-    return x == y or (x not in known and y not in known) or (not (x in known and y in known) and (near(x, y, known) or damerau(x, y) <= 2))
+    return x == y or (x not in known and y not in known) or (not (x in known and y in known) and (near(x, y, known) or edits(x, y) <= 2))
 
 
 def grow(links: list[tuple], differs: Callable[[list[str], list[str], frozenset[str]], bool]) -> dict[str, str]:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from functools import partial
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalmill.llm.address import Address, parse
+from pedalmill.llm.address import Address, parse, with_parts
 from pedalmill.llm.mixture import mix
 from pedalmill.llm.names import cluster_names, pairs_within
-from pedalmill.llm.reference_map import PHRASES, map_to_reference, spelling
+from pedalmill.llm.reference_map import map_to_reference, spelling
 from pedalmill.llm.residue import find_residue
 from pedalmill.llm.same_address import cluster_addresses
 from pedalmill.llm.tokenizer import with_ids
@@ -45,16 +44,8 @@ def placed_customers(spark: SparkSession, d: str) -> DataFrame:
     """staging_customer with its address as read (number, mark, words, phrases) and the province found in it
     (found_id, 0 where none). An address is read once."""
     provinces = _provinces(spark, d)
-    reader = _reader(provinces)
-
-    def read(batch: pd.Series) -> pd.DataFrame:
-        parsed = [reader(a) for a in batch]
-        phrases = [[{"text": t, "marked": m} for t, m in p.phrases] for p in parsed]
-        return pd.DataFrame({"number": [p.number for p in parsed], "mark": [p.mark for p in parsed], "words": [list(p.street) for p in parsed], "phrases": phrases})
-
     rows = spread(table(spark, d, "staging_customer").select("customer_code", "address", "province_id", "created_at"))
-    told = rows.withColumn("p", F.pandas_udf(read, f"struct<number:string,mark:string,words:array<string>,phrases:{PHRASES}>")("address"))
-    found = map_to_reference(told.select(*rows.columns, "p.*"), "address", "phrases", provinces, ["customer_code"])
+    found = map_to_reference(with_parts(rows, "address", _reader(provinces)), "address", "phrases", provinces, ["customer_code"])
     return found.withColumn("found_id", F.coalesce("match.id", F.lit(0)))
 
 

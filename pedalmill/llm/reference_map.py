@@ -126,7 +126,7 @@ def map_to_reference(rows: DataFrame, value: str, phrases: str, reference: DataF
 
     def meet(values: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         if not len(values) or not len(part):
-            return pd.DataFrame({"__value": [], "rank": [], "entry": [], "id": []})
+            return pd.DataFrame({"__value": [], "rank": [], "entry": [], "id": []}, dtype=object)
         won = _winners(Shard(list(zip(part["id"], part["name"], strict=True))), values["phrases"])
         won.insert(0, "__value", values["__value"].to_numpy())
         return won[won["id"].notna()]

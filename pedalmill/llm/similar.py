@@ -6,6 +6,37 @@ from __future__ import annotations
 SIMILAR = 0.7
 
 
+#: Letters up to which words are compared as a whole; of longer ones only what differs is.
+LONG = 25
+
+
+def rests(a: str, b: str) -> tuple[str, str]:
+    """``a`` and ``b`` without the beginning and the end that they share."""
+    i, most = 0, min(len(a), len(b))
+    while i < most and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < most - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    return a[i : len(a) - j], b[i : len(b) - j]
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Is one letter more, less, another, or swapped with its neighbour, all that they differ in? In linear time."""
+    if abs(len(a) - len(b)) > 1:
+        return False
+    x, y = rests(a, b)
+    return (len(x), len(y)) in ((0, 1), (1, 0), (1, 1)) or (len(x) == len(y) == 2 and x == y[::-1])
+
+
+def likeness(a: str, b: str) -> float:
+    """Jaro-Winkler similarity; of long words the share of letters that what differs leaves."""
+    if max(len(a), len(b)) <= LONG:
+        return jaro_winkler(a, b)
+    x, y = rests(a, b)
+    return 1.0 - max(len(x), len(y)) / max(len(a), len(b))
+
+
 def jaro_winkler(a: str, b: str) -> float:
     if a == b:
         return 1.0

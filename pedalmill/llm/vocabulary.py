@@ -8,8 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pedalmill.llm.edit import damerau
-from pedalmill.llm.similar import SIMILAR, jaro_winkler, lost_letters
+from pedalmill.llm.similar import LONG, SIMILAR, likeness, lost_letters, one_edit
 from pedalmill.operators.skew import salted_left_join
 from pedalmill.session import cut
 
@@ -19,16 +18,22 @@ SLIP_RATIO = 8
 LEAST = 2
 
 
-def _shorter(word: Column) -> Column:
-    """``word`` and what is left of it without one of its letters, never nothing. Two words that are an edit or a
-    swap of neighbours apart share one of these, unless both have one letter only."""
-    less = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))
-    return F.filter(F.array_distinct(F.concat(F.array(word), less)), lambda x: x != "")
+def _keys(word: Column) -> Column:
+    """Keys of which two words share one that are an edit or a swap of neighbours apart, unless both have one letter
+    only: the word itself and what is left of it without one of its letters; of a long one, whose letters are many, its
+    first and its last half, for the edit leaves one of them as it was. Halves are those of the shorter of two words."""
+    size = F.length(word)
+    less = F.transform(F.sequence(F.lit(1), size), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, size)))
+    short = F.filter(F.array_distinct(F.concat(F.array(word), less)), lambda x: x != "")
+    half = lambda m: F.floor((m - 2) / 2).cast("int")
+    ends = [F.concat_ws("|", m.cast("string"), F.lit(end), part) for m in (size - 1, size) for end, part in (("^", F.substring(word, F.lit(1), half(m))), ("$", F.substring(word, size - half(m) + 1, size)))]
+    none = F.array().cast("array<string>")
+    return F.concat(F.when(size <= LONG, short).otherwise(none), F.when(size >= LONG - 1, F.array(*ends)).otherwise(none))
 
 
 def _is_slip(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for typed, meant in pairs:
-        yield pd.Series([damerau(a, b) == 1 and jaro_winkler(a, b) >= SIMILAR * (len(a) > 2) for a, b in zip(typed, meant, strict=True)], dtype=bool)
+        yield pd.Series([one_edit(a, b) and likeness(a, b) >= SIMILAR * (len(a) > 2) for a, b in zip(typed, meant, strict=True)], dtype=bool)
 
 
 def _is_lost(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -49,21 +54,28 @@ def vocabulary(lists: DataFrame, words: str, times: str, nicknames: dict[str, st
     """
     at = lists.select(F.col(times).alias("t"), F.posexplode(words).alias("i", "word"), F.col(words).alias("w"))
     counts = cut(at.where("word is not null and word <> ''").groupBy("word").agg(F.sum("t").alias("n")))
-    keyed = counts.select("word", "n", F.explode(_shorter(F.col("word"))).alias("key"))
+    keyed = counts.select("word", "n", F.explode(_keys(F.col("word"))).alias("key"))
     typed, meant = keyed.withColumnsRenamed({"word": "a", "n": "na"}), keyed.withColumnsRenamed({"word": "b", "n": "nb"})
     close = typed.join(meant, "key").where((F.col("a") != F.col("b")) & (F.col("nb") >= SLIP_RATIO * F.col("na"))).select("a", "b").distinct()
     slips = close.where(F.pandas_udf(_is_slip, "boolean")("a", "b"))
     near = cut(slips.groupBy("a").agg(F.sort_array(F.collect_set("b")).alias("spellings")).withColumnRenamed("a", "word"))
     # lost letters that no word an edit away explains: words of the same length are matched with these letters, and
-    # one more, blanked; the patterns of one length are as many as the places of lost letters that occur
-    lost = counts.where(F.contains("word", F.lit("?"))).join(near, "word", "left_anti").select(F.col("word").alias("a"))
-    gone = lambda w: F.filter(F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(w, i, F.lit(1)) == "?")
-    blank = lambda w, places: F.array_join(F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.when(F.array_contains(places, i), "?").otherwise(F.substring(w, i, F.lit(1)))), "")
-    more = lost.withColumn("size", F.length("a")).withColumn("places", gone(F.col("a"))).withColumn("extra", F.explode(F.sequence(F.lit(1), F.col("size")))).withColumn("places", F.array_sort(F.array_union("places", F.array("extra"))))
-    masked = more.select("a", "size", "places", blank(F.col("a"), F.col("places")).alias("mask"))
-    patterns = masked.select("size", "places").distinct()
+    # one more, blanked, long ones half by half; the patterns of a length are as many as the places of lost letters
+    lost = counts.where(F.contains("word", F.lit("?"))).join(near, "word", "left_anti").select(F.col("word").alias("a"), F.length("word").alias("size"))
+    gone = F.filter(F.sequence(F.lit(1), F.col("size")), lambda i: F.substring("a", i, F.lit(1)) == "?")
+    extra = F.explode(F.when(F.col("size") <= LONG, F.sequence(F.lit(1), F.col("size"))).otherwise(F.array(F.lit(0))))
+    blanked = lost.withColumn("gone", gone).withColumn("extra", extra).withColumn("places", F.array_sort(F.array_union("gone", F.array("extra"))))
+
+    def masks(word: str) -> Column:
+        size, places = F.col("size"), F.col("places")
+        whole = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: F.when(F.array_contains(places, i), "?").otherwise(F.substring(word, i, F.lit(1)))), "")
+        half = (size / 2).cast("int")
+        return F.explode(F.when(size <= LONG, F.array(whole)).otherwise(F.array(F.concat(F.lit("^"), F.substring(whole, F.lit(1), half)), F.concat(F.lit("$"), F.substring(whole, half + 1, size)))))
+
+    masked = blanked.select("a", "size", "places", masks("a").alias("mask"))
+    patterns = blanked.select("size", "places").distinct()
     whole = counts.where(~F.contains("word", F.lit("?"))).select(F.col("word").alias("b"), F.length("word").alias("size"))
-    fits = whole.join(patterns, "size").select("b", "size", "places", blank(F.col("b"), F.col("places")).alias("mask"))
+    fits = whole.join(patterns, "size").select("b", "size", "places", masks("b").alias("mask"))
     found = masked.join(fits, ["size", "places", "mask"]).select("a", "b").distinct().where(F.pandas_udf(_is_lost, "boolean")("a", "b"))
     filled = found.groupBy("a").agg(F.sort_array(F.collect_set("b")).alias("spellings")).withColumnRenamed("a", "word")
     sure = cut(counts.join(near.unionByName(filled), "word", "left"))
@@ -74,7 +86,10 @@ def vocabulary(lists: DataFrame, words: str, times: str, nicknames: dict[str, st
     beside = pairs.groupBy("x", "y").agg(F.sum("t").alias("together")).withColumn("word", F.concat("x", "y"))
     alone = sure.where("spellings is null")
     by_pair = beside.join(alone.select("word", "n"), "word").where("together >= n").select("word", "x", "y")
-    cuts = alone.where((F.col("n") < LEAST) & (F.length("word") >= 4)).withColumn("k", F.explode(F.sequence(F.lit(2), F.length("word") - 2)))
+    # only where both halves are as long as some known word: the lengths that occur are few, whatever a word's own
+    lengths = base.agg(F.collect_set(F.length("word")).alias("lengths"))
+    at_length = F.filter("lengths", lambda k: (k >= 2) & F.array_contains(F.col("lengths"), F.length("word") - k) & (F.length("word") - k >= 2))
+    cuts = alone.where((F.col("n") < LEAST) & (F.length("word") >= 4)).crossJoin(F.broadcast(lengths)).withColumn("k", F.explode(at_length))  # one row
     by_half = cuts.select("word", F.substring("word", F.lit(1), F.col("k")).alias("x"), F.substring("word", F.col("k") + 1, F.length("word")).alias("y"))
     split = by_pair.unionByName(by_half).join(first, "x").join(second, "y").where((F.col("word") != F.col("x")) & (F.col("word") != F.col("y")))
     halves = split.groupBy("word").agg(F.max_by(F.array("x", "y"), F.struct(F.least("nx", "ny"), "x")).alias("halves"))

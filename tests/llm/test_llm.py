@@ -9,15 +9,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from pedalmill.llm.address import parse
+from pedalmill.llm.address import parse, with_parts
 from pedalmill.llm.components import connected_components
 from pedalmill.llm.edit import BKTree, damerau, plain
 from pedalmill.llm.mixture import blocks_of, draw_shards, mix, permute, plan_slots, token_offsets
-from pedalmill.llm.names import cluster_names, differ, jaro_winkler, pairs_within, settle
+from pedalmill.llm.names import cluster_names, differ, pairs_within, settle
 from pedalmill.llm.reference_map import map_to_reference
 from pedalmill.llm.residue import find_residue, strong_reasons
 from pedalmill.llm.same_address import cluster_addresses, shingles, signature
+from pedalmill.llm.similar import jaro_winkler, lost_letters
 from pedalmill.llm.tokenizer import VOCABULARY, Tokenizer, read_ranks, with_ids
+from pedalmill.llm.vocabulary import vocabulary
 
 words = st.text("abc?", max_size=7)
 needs_vocabulary = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary here")
@@ -78,17 +80,28 @@ class TestMapping:
     def test_ids_whatever_the_shards(self, spark, shard):
         rows = spark.createDataFrame([(i, a[0], "clash") for i, a in enumerate(ADDRESSES)] + [(0, ADDRESSES[0][0], "twice")], "i int, address string, entry string")
         ref = spark.createDataFrame([*PROVINCES, (None, "x"), (9, None)], "id int, name string")
-        got = map_to_reference(rows, "address", ref, lambda t: READ(t).phrases, shard_entries=shard).select("i", "entry", "match.id").collect()
+        got = map_to_reference(with_parts(rows, "address", READ), "address", "phrases", ref, ["i"], shard_entries=shard, block_values=4).select("i", "entry", "match.id").collect()
         assert len(got) == len(ADDRESSES) + 1
         assert {r.i: r.id for r in got} == {i: a[1] for i, a in enumerate(ADDRESSES)}
 
     def test_empty(self, spark):
         rows = spark.createDataFrame([], "address string")
         none = spark.createDataFrame([], "id int, name string")
-        assert map_to_reference(rows, "address", none, lambda t: []).count() == 0
-        one = map_to_reference(spark.createDataFrame([("Hà Lam",)], "address string"), "address", none, lambda t: READ(t).phrases)
+        assert map_to_reference(with_parts(rows, "address", READ), "address", "phrases", none, ["address"]).count() == 0
+        one = map_to_reference(with_parts(spark.createDataFrame([("Hà Lam",)], "address string"), "address", READ), "address", "phrases", none, ["address"])
         assert one.first().match is None
 
+    @pytest.mark.parametrize("shard", [20_000, 100])
+    def test_repeated_and_long_entries(self, spark, shard):
+        """Copies of one entry crowd none out, and an entry may have any number of words."""
+        long = "Cong Hoa Dan Chu Nhan Dan Ba Mien Lon"
+        names = [f"Kem {a}{b}o" for a in "bcdghklm" for b in "aeiou"]
+        ref = spark.createDataFrame([(7, long)] + [(5, "Vinh Sam")] * 400 + [(100 + i, n) for i, n in enumerate(names)], "id int, name string")
+        rows = spark.createDataFrame([(long.lower(), 7), (long.replace("Ba", "Bb"), 7), ("vinh samm", 5), *((n, 100 + i) for i, n in enumerate(names))], "v string, want int")
+        asked = rows.withColumn("phrases", F.array(F.struct(F.lower("v").alias("text"), F.lit(False).alias("marked"))))
+        got = map_to_reference(asked, "v", "phrases", ref, ["want"], shard_entries=shard, block_values=10).select("v", "want", "match.id").collect()
+        assert len(got) == len(names) + 3 and [(r.v, r.id) for r in got if r.id != r.want] == []
+
 
 class TestComponents:
     def test_brute_force(self, spark):
@@ -113,6 +126,40 @@ class TestComponents:
         assert connected_components(spark.createDataFrame([], "src string, dst string")).count() == 0
 
 
+class TestVocabulary:
+    def test_brute_force(self, spark):
+        rng = random.Random(19)
+        words = ["".join(rng.choice("abn?") for _ in range(rng.randrange(1, 6))) for _ in range(150)]
+        rows = [([rng.choice(words) for _ in range(rng.randrange(4))], rng.choice([1, 1, 2, 30])) for _ in range(150)] + [([], 1), (None, 5), (["ab", "ba"], 40), (["abba", "nn"], 3)]
+        n, beside = {}, {}
+        for ws, t in rows:
+            for i, w in enumerate(ws or []):
+                n[w] = n.get(w, 0) + t
+                if i + 1 < len(ws):
+                    beside[w, ws[i + 1]] = beside.get((w, ws[i + 1]), 0) + t
+        slips = {a: sorted(b for b in n if b != a and n[b] >= 8 * n[a] and (len(a) > 1 or len(b) > 1) and damerau(a, b) == 1 and (len(a) < 3 or jaro_winkler(a, b) >= 0.7)) for a in n}
+        lost = {a: sorted(b for b in n if "?" not in b and lost_letters(a, b) <= 1) if "?" in a and not slips[a] else [] for a in n}
+        base = {a for a in n if n[a] >= 2 and not slips[a] and not lost[a]}
+        for r in vocabulary(spark.createDataFrame(rows, "w array<string>, t int"), "w", "t").collect():
+            a = r.word
+            assert r.n == n[a] and list(r.spellings) == (slips[a] or lost[a] or [a])
+            cuts = [] if slips[a] or lost[a] else [(a[:k], a[k:]) for k in range(2, len(a) - 1) if a[:k] in base and a[k:] in base and (n[a] < 2 or beside.get((a[:k], a[k:]), 0) >= n[a])]
+            assert list(r.halves) == (list(max(cuts, key=lambda c: (min(n[c[0]], n[c[1]]), c[0]))) if cuts else [])
+            assert r.known == (a in base and not r.halves)
+
+    def test_rare_words_of_a_large_vocabulary_are_known(self, spark):
+        """What a word is does not depend on how many others there are."""
+        few = [["kimbra", "zoltan"], ["kimbra", "zoltan"], ["kimbra", "oruk"], ["zoltan", "oruk"], ["kimbrra", "zoltan"]] + [["kimbra"]] * 8
+        many = [[f"{a}{b}{c}{d}{e}" for e in "xyzqw"] for a in "bcdfg" for b in "hjkl" for c in "mnpqr" for d in "stvwxyzbcd"] * 2
+        many += [[w * 2 for w in ws] for ws in many] + [[w[::-1] * 2 for w in ws] for ws in many] + [[w + "uuuu" for w in ws] for ws in many]
+        told = []
+        for lists in (few, few + many):
+            df = spark.createDataFrame([(ws, 1) for ws in lists], "w array<string>, t int")
+            told.append({r.word: tuple(r) for r in vocabulary(df, "w", "t").collect()})
+        assert len(told[1]) >= 20_000 and {w: told[1][w] for w in told[0]} == told[0]
+        assert told[0]["oruk"][2] and told[0]["kimbrra"][3] == ["kimbra"] and sum(i[2] for i in told[1].values()) >= 20_000
+
+
 DEALERS = [
     ("A1", "CÔNG TY TNHH THƯƠNG MẠI Nga Bách Khiêm Nhung"), ("A2", "NGA BACH KHIEM NHUNG MANUFACTURING JSC"), ("A3", "Nhung Khiêm, Bách Nga - CTY. CP S.X"), ("A4", "Xe đạp anh Nga (Bách Khiêm Nhung)"),
     ("A5", "Ông Nga - Bách Khiêm Nhung Nga"), ("A6", "KH: Cty Ngabách Khiêm Nhung"), ("A7", "H.K.D Nga Bácch Khiêm Nhug"), ("A8", "ct tnhh nga b?ch khiêm nhung"),
@@ -132,18 +179,29 @@ class TestNames:
         assert by["A1"] == {f"A{i}" for i in range(1, 9)} and by["B1"] == {"B1", "B2"}
         assert not {"C1", "C2", "C3", "C4", "C5", "D1", "L1"} & set(by) and by["L2"] == {"L2"}
 
+    def test_nicknames_and_size(self, spark):
+        rows = [("N1", "Nguyễn Loan Kim"), ("N2", "Ng. Loan Kim"), ("N3", "Cty TNHH Kim Ng Loan"), ("N4", "Tr. Loan Kim"), ("E1", "Robert Mill"), ("E2", "Mill, Bob"), ("E3", "Roberta Mill"), ("T1", "Loan Kim Nga Bách Trấn"), ("T2", "Kim Nga Bách Trấn Loan")] + FILL
+        rows += [("F", "Nguyễn Nga"), ("F", "Robert Bách"), ("F", "Roberta Nga"), ("F", "Mill Nga")]
+        df = spark.createDataFrame(rows, "code string, name string")
+        got = {r.code: r.dealer for r in cluster_names(df, "code", "name").collect()}
+        assert got["N1"] == got["N2"] == got["N3"] != got["N4"] and got["E1"] == got["E2"] != got["E3"] and got["T1"] == got["T2"]
+        plainly = {r.code: r.dealer for r in cluster_names(df, "code", "name", nicknames={}).collect()}
+        assert plainly["N1"] != plainly["N2"] and plainly["E1"] != plainly["E2"]
+        four = {r.code: r.dealer for r in cluster_names(df, "code", "name", 4).collect()}
+        assert four["T1"] != four["T2"]  # other windows of four
+
     def test_every_link_counts(self, spark):
         known = frozenset("nga loan kim lan".split())
         own = {"n1": "nga loan kimm", "n2": "nga loan kiim", "n3": "nga loan kkim", "n4": "nga loan kym", "c": "kim loan nga", "s": "kim loann nga", "u": "kim lan nga", "v": "kim laan nga", "w": "lan loanx kkim", "x": "lan loann kkim", "y": "lan kim loam"}  # nothing known stands against w-x-y
         own = {k: v.split() for k, v in own.items()}
         scores = [("n1", "n2", 0.99), ("n3", "n4", 0.99), ("n1", "n3", 0.9), ("s", "c", 0.9), ("s", "u", 0.8), ("v", "u", 0.9), ("s", "v", 0.7), ("w", "x", 0.99), ("x", "y", 0.9)]
-        rows = [(a, own[a], b, own[b], b not in "cu", s) for a, b, s in scores]
-        df = spark.createDataFrame(rows, "a string, own_a array<string>, b string, own_b array<string>, slip_b boolean, score double")
+        rows = [(a, own[a], b, own[b], b not in "cu", sorted(known & {*own[a], *own[b]}), s) for a, b, s in scores]
+        df = spark.createDataFrame(rows, "a string, own_a array<string>, b string, own_b array<string>, slip_b boolean, sure array<string>, score double")
         got = {}
-        for r in settle(df, lambda x, y: differ(x, y, known)).collect():
+        for r in settle(df, differ).collect():
             got.setdefault(r.component, set()).add(r.node)
         assert sorted(map(sorted, got.values())) == [["c", "s"], ["n1", "n2", "n3", "n4"], ["u", "v"], ["w", "x", "y"]]
-        assert settle(df.limit(0), lambda x, y: True).count() == 0
+        assert settle(df.limit(0), differ).count() == 0
 
     def test_pairs(self, spark):
         m = spark.createDataFrame([("b", "g"), ("a", "g"), ("a", "g"), ("c", "g"), ("d", None), (None, "g"), ("e", "h")], "code string, g string")
@@ -154,14 +212,26 @@ class TestNames:
         assert cluster_names(spark.createDataFrame([("x", None)], "code string, name string"), "code", "name").count() == 0
 
 
+def places(spark, rows):
+    read = with_parts(spark.createDataFrame(rows, "code string, address string, province int"), "address", READ)
+    return cluster_addresses(read, "code", "province", "number", "mark", "words")
+
+
 class TestAddresses:
+    def test_streets_that_begin_alike(self, spark):
+        texts = ["12 Nguyễn Thị Minh Khai, Hà Lam", "12 Nguyễn Thị Định, Hà Lam", "5 đường Cách Mạng Tháng Tám, Hà Lam", "5 đường Cách Mạng, Hà Lam"]
+        assert [READ(t).street for t in texts] == [("nguyen", "thi", "minh", "khai"), ("nguyen", "thi", "dinh"), ("cach", "mang", "thang", "tam"), ("cach", "mang")]
+        assert all(READ(t).phrases == [("ha lam", False)] for t in texts)
+        got = {r.code: r.place for r in places(spark, [(f"{t}|{k}", t, 51) for t in texts for k in range(3)]).collect()}
+        assert len(got) == 12 and len(set(got.values())) == 4 and all(got[f"{t}|0"] == got[f"{t}|2"] for t in texts)
+
     def test_places(self, spark):
         same = ["Số 12 đường Loan Lộc, Hà Lam", "12, Đ. LOAN LOC, P. 5, Hà Lam", "Hà Lam - sn 12 Loan Lộcc", "12 phố Loanlộc, Hà Lam"]
         other = ["12A đường Loan Lộc, Hà Lam", "12 đường Lộc Loan, Hà Lam", "12 đường Loan Kim, Hà Lam", "Loan Lộc, Hà Lam", "", None]
         fill = [f"{i} đường {a}, Hà Lam" for i, a in enumerate(["Loan Kim", "Lộc Kim", "Kim Loan", "Kim Lộc", "Lộc Loan"] * 4, 100)]
         rows = [(f"S{i}", a, 51) for i, a in enumerate(same)] + [(f"O{i}", a, 51) for i, a in enumerate(other)] + [("P0", same[0], 52), ("N0", same[0], None)] + [(f"F{i}", a, 51) for i, a in enumerate(fill)]
         got = {}
-        for r in cluster_addresses(spark.createDataFrame(rows, "code string, address string, province int"), "code", "address", "province", READ).collect():
+        for r in places(spark, rows).collect():
             got.setdefault(r.place, set()).add(r.code)
         by = {c: g for g in got.values() for c in g}
         assert by["S0"] == {"S0", "S1", "S2", "S3"}
@@ -177,7 +247,7 @@ class TestAddresses:
         same, other = ["12 phố Loan Lộc, Hà Lam", "12, phn Loan Lộc, Hà Lam", "12 phpo Loan Lộc, Hà Lam"], ["12 phố Loan Lộc Kim, Hà Lam", "12 phố Loan Lộc Trấn, Hà Lam"]
         fill = [f"{i} đường {a}, Hà Lam" for i, a in enumerate(["Loan Kim", "Lộc Trấn", "Kim Loan", "Trấn Lộc"] * 4, 100)]
         rows = [(a, a, 51) for a in same + other + fill]
-        got = {r.code: r.place for r in cluster_addresses(spark.createDataFrame(rows, "code string, address string, province int"), "code", "address", "province", READ).collect()}
+        got = {r.code: r.place for r in places(spark, rows).collect()}
         assert len({got[a] for a in same}) == 1 and len({got[a] for a in same[:1] + other}) == 3
 
     def test_signatures_meet(self):
@@ -196,7 +266,7 @@ class TestAddresses:
         assert met / total > 0.98
 
     def test_empty(self, spark):
-        assert cluster_addresses(spark.createDataFrame([], "code string, address string, province int"), "code", "address", "province", READ).count() == 0
+        assert places(spark, []).count() == 0
 
 
 @needs_vocabulary
