@@ -119,8 +119,8 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_reasons(spark: SparkSession, d: str) -> DataFrame:
-    """The residue documents with what was found in each."""
-    return find_residue(table(spark, d, "documents"), "doc_id", "text", "source").select("doc_id", F.array_join("reasons", ",").alias("reasons"))
+    """The residue documents with what was found in each, and the evidence of title and host."""
+    return find_residue(table(spark, d, "documents"), "doc_id", "text", "source").select("doc_id", F.array_join("reasons", ",").alias("reasons"), "host", "mismatched", "titles")
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

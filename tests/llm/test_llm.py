@@ -15,7 +15,7 @@ from pedalmill.llm.edit import BKTree, damerau, plain
 from pedalmill.llm.mixture import blocks_of, draw_shards, mix, permute, plan_slots, token_offsets
 from pedalmill.llm.names import cluster_names, differ, pairs_within, settle
 from pedalmill.llm.reference_map import map_to_reference
-from pedalmill.llm.residue import find_residue, strong_reasons
+from pedalmill.llm.residue import _EMPTIES, _NOTICES, _SAMPLES, find_residue, strong_reasons
 from pedalmill.llm.same_address import cluster_addresses, shingles, signature
 from pedalmill.llm.similar import jaro_winkler, lost_letters
 from pedalmill.llm.tokenizer import VOCABULARY, Tokenizer, read_ranks, with_ids
@@ -373,15 +373,34 @@ class TestResidue:
         for text in ("Nhớ giữ nguyên ký hiệu {{ten}} để máy tự điền.", "Đại lý hỏi vì sao thư in chữ {{ten}}, đã báo kỹ thuật sửa mẫu.", 'Thư gửi đi còn nguyên dòng "{{ten}}", nhờ xem giúp.'):
             assert strong_reasons(text) == [], text
 
+    def test_other_languages_and_words_in_brackets(self):
+        for text in ("Página no encontrada", "Seite nicht gefunden", "ページが見つかりません", "Please enable cookies to continue", "La página solicitada no existe.", "Страница не найдена", "Bitte aktivieren Sie JavaScript", "503 Ошибка"):
+            assert strong_reasons(text) == ["NOTICE"], text
+        for text in ("Your card [Visa] has been charged", "Order 12 confirmed. Please log in to see the invoice.", "[Update] giá mới"):
+            assert strong_reasons(text) == [], text
+
+    def test_sieve_finds_what_the_pattern_finds(self):
+        rng = random.Random(23)
+        parts = [t for t, _ in RESIDUE if t and len(t) < 500]
+        for pattern in (_NOTICES, _SAMPLES, _EMPTIES):
+            assert pattern.literals
+            for _ in range(2000):
+                t = plain(rng.choice(parts))
+                i = rng.randrange(len(t) + 1)
+                t = t[i:] + " " + t[:i] if rng.random() < 0.5 else t
+                assert pattern.search(t) == bool(pattern.pattern.search(t)), t
+
     def test_rows(self, spark):
-        pages = [(100 + i, f"Xe {i} màu đỏ\nRất tiếc, mời bạn quay lại", "web") for i in range(3)] + [(200, "Tin nhắn\nRất tiếc, mời bạn quay lại", "mail")]
-        df = spark.createDataFrame([(i, t, "h") for i, (t, _) in enumerate(RESIDUE)] + pages + [(0, RESIDUE[0][0], None)], "doc_id bigint, text string, source string").withColumn("reasons", F.lit("clash"))
-        got = {}
+        """A body shared under many titles is residue only where its words are those of known residue."""
+        seeds = [(300 + i, f"Xe số {i}\nRất tiếc, trang này không tồn tại, mời bạn quay lại {w}", "shop") for i, w in enumerate("sau ngay mai nhé".split())]
+        pages = [(100 + i, f"Xe {c} màu đỏ\nRất tiếc, mời bạn quay lại", "web") for i, c in enumerate("abc")] + [(200, "Tin nhắn\nRất tiếc, mời bạn quay lại", "mail")]
+        chats = [(400 + i, f"Hỏi {c} giá\nok anh nhé, em báo kho", "web") for i, c in enumerate("abcdef")] + [(500 + i, f"Hàng {i % 6}\nDạ vâng {'abcdefghij'[i // 6]}", "chat") for i in range(60)]
+        df = spark.createDataFrame([(i, t, "h") for i, (t, _) in enumerate(RESIDUE)] + seeds + pages + chats + [(0, RESIDUE[0][0], None)], "doc_id bigint, text string, source string").withColumn("reasons", F.lit("clash"))
+        got, evidence = {}, {}
         for r in find_residue(df, "doc_id", "text", "source").collect():
             got.setdefault(r.doc_id, []).append(r.reasons)
-        want = {i: [w] for i, (_, w) in enumerate(RESIDUE) if w} | {100 + i: [["DUPLICATED"]] for i in range(3)}
+            evidence[r.doc_id] = (r.host, r.mismatched, r.titles)
+        want = {i: [w] for i, (_, w) in enumerate(RESIDUE) if w} | {i: [["NOTICE"]] for i, _, _ in seeds} | {100 + i: [["DUPLICATED"]] for i in range(3)}
         want[0] = [["FIELD"], ["FIELD"]]
-        assert got == want
+        assert got == want and evidence[100] == ("web", True, 3) and evidence[300] == ("shop", True, 1)
         assert find_residue(df.limit(0), "doc_id", "text", "source").count() == 0
-
-
