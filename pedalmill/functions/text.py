@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -44,6 +45,80 @@ def normalize(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(unaccent(F.coalesce(text, F.lit("")))), "[^a-z0-9]+", " "))
 
 
+def normalized(text: str) -> str:
+    """What ``normalize`` makes of a constant."""
+    bare = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c)).replace("đ", "d").replace("Đ", "D")
+    return re.sub("[^a-z0-9]+", " ", bare.lower()).strip()
+
+
+# How files write that a value is missing.
+MISSING = ("nan", "none", "null")
+
+
+def mapped_text(text: Column) -> Column:
+    """``normalize``, where the words for a missing value are none."""
+    return F.when(F.lower(F.trim(text)).isin(*MISSING), "").otherwise(normalize(text))
+
+
+def bare_province(text: Column) -> Column:
+    """A normalized name without the word for a province or a city at its start."""
+    for mark in ("tinh", "thanh pho", "tp"):
+        text = F.regexp_replace(text, f"^{mark} +", "")
+    return text
+
+
+# What an error says and the group it belongs to; the first that it contains counts.
+ERROR_GROUPS = {
+    "Trùng so_number trong batch": "Trùng so_number trong batch",
+    "Không tìm thấy PDF đính kèm": "Không tìm thấy PDF đính kèm",
+    "Không trích xuất được so_number": "Không trích xuất được so_number",
+    "Không lấy được order_date từ email header Date": "Không lấy được order_date từ email header Date",
+    "Không trích xuất được MST": "Không trích xuất được MST",
+    "Không trích xuất được customer_name": "Không trích xuất được customer_name từ email body",
+    "Không tạo/lấy được customer_code": "Không tạo/lấy được customer_code",
+    "product_code không tồn tại trong master": "product_code không tồn tại trong master data",
+    "Không đủ 3 số cuối": "Không đủ 3 số cuối để lấy quantity, unit_price, line_total",
+    "Lỗi parse số:": "Lỗi parse số",
+    "Thiếu product_code": "Thiếu product_code",
+    "Thiếu quantity": "Thiếu quantity",
+    "quantity <= 0": "quantity <= 0",
+    "Thiếu unit_price": "Thiếu unit_price",
+    "unit_price < 0": "unit_price < 0",
+    "Thiếu line_total": "Thiếu line_total",
+    "line_total <= 0": "line_total <= 0",
+    "line_total lệch calculated_total": "line_total lệch calculated_total",
+    "Không trích xuất được dòng hàng nào từ PDF": "Không trích xuất được dòng hàng nào từ PDF",
+    "Không còn order_line hợp lệ": "Không còn order_line hợp lệ",
+    "Sales_order lỗi": "Sales_order lỗi",
+}
+
+
+def error_group(error: Column) -> Column:
+    """The group of an error's text; the text itself, cleaned, where it is in none, '' for null."""
+    said = clean(error)
+    out = F.when(said == "", "")
+    for part, group in ERROR_GROUPS.items():
+        out = out.when(F.contains(said, F.lit(part)), group)
+    return out.otherwise(said)
+
+
+def moment(text: Column) -> Column:
+    """A date and time as typed, null where it is none."""
+    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit("dd/MM/yyyy HH:mm:ss")), F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
+
+
+def fenced_json(text: Column, schema: str) -> Column:
+    """The JSON in ``text``, with or without a code fence around it, as ``schema``; null where it is none."""
+    bare = F.regexp_replace(F.trim(text), "(?s)^```(?:json)?\\s*|\\s*```$", "")
+    return F.from_json(bare, schema, {"mode": "PERMISSIVE"})
+
+
+def distinct_parts(text: Column, separator: str = ",") -> Column:
+    """The parts of a list typed with ``separator``, trimmed, each once, in order, none empty."""
+    parts = F.transform(F.split(text, f"\\Q{separator}\\E"), lambda x: F.trim(x))
+    return F.filter(F.array_distinct(parts), lambda x: x != "")
+
+
 def strip_html(html: Column) -> Column:
     """The text of a page: no scripts and styles, breaks and paragraphs as lines, tags as blanks."""
     x = F.regexp_replace(html, "(?is)<(script|style)\\b.*?</\\1>", " ")

@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pedalmill.operators import bgnbd
+from pedalmill.operators.global_rank import global_quantiles
+from pedalmill.plans.fact import orders
+from pedalmill.plans.features import ORACLES as FEATURES_SQL
 from pedalmill.plans.features import SCORED_SQL, bgnbd_summary, by_sku, panel, rfm_features, scored_customers
 from pedalmill.plans.forecast import TEST_MONTH, metrics
 from pedalmill.session import cut
 
 # Clusters and their names by falling value.
 CLUSTERS, SEED = 4, 42
+#: Starts of k-means and the most clusters that the elbow looks at.
+STARTS, MOST_CLUSTERS = 10, 10
 SEGMENTS = ("VIP", "Active", "At Risk", "Low Value")
 
 
@@ -54,13 +59,13 @@ def churn_priority(spark: SparkSession, d: str) -> DataFrame:
     return s.where("churn_probability >= 0.6").orderBy(F.col("priority_score").desc(), "customer_code").limit(50)
 
 
-def kmeans_frame(spark: SparkSession, d: str, k: int = CLUSTERS) -> tuple[DataFrame, float]:
+def kmeans_frame(spark: SparkSession, d: str, k: int = CLUSTERS, starts: int = STARTS) -> tuple[DataFrame, float]:
     """(customers with their cluster, silhouette); fails where there are fewer customers than clusters."""
     z = [f"z_{c}" for c in ("recency_days", "log_frequency", "log_monetary")]
     frame = cut(VectorAssembler(inputCols=z, outputCol="features").transform(rfm_features(spark, d).na.fill(0.0, z)))
     if frame.limit(k).count() < k:
         raise ValueError(f"fewer customers than the {k} clusters asked for")
-    model = min((KMeans(k=k, seed=SEED + i, featuresCol="features", predictionCol="cluster").fit(frame) for i in range(5)), key=lambda m: m.summary.trainingCost)
+    model = min((KMeans(k=k, seed=SEED + i, featuresCol="features", predictionCol="cluster").fit(frame) for i in range(starts)), key=lambda m: m.summary.trainingCost)
     out = model.transform(frame)
     return out, ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(out)
 
@@ -80,11 +85,11 @@ def rfm_segment_names(spark: SparkSession, d: str) -> DataFrame:
     return scored.withColumn("segment", F.element_at(F.array(*map(F.lit, SEGMENTS)), place)).select("cluster", "segment", "customers", "value_score")
 
 
-def elbow(spark: SparkSession, d: str) -> DataFrame:
-    """Cost by number of clusters, 2 to 8, and the knee: the point furthest from the line between the ends."""
+def elbow(spark: SparkSession, d: str, most: int = MOST_CLUSTERS) -> DataFrame:
+    """Cost by number of clusters, 2 to ``most``, and the knee: the point furthest from the line between the ends."""
     z = [f"z_{c}" for c in ("recency_days", "log_frequency", "log_monetary")]
     frame = cut(VectorAssembler(inputCols=z, outputCol="features").transform(rfm_features(spark, d).na.fill(0.0, z)))
-    costs = [(k, float(KMeans(k=k, seed=SEED).fit(frame).summary.trainingCost)) for k in range(2, 9)]
+    costs = [(k, float(KMeans(k=k, seed=SEED).fit(frame).summary.trainingCost)) for k in range(2, most + 1)]
     (x0, y0), (x1, y1) = costs[0], costs[-1]
     far = [abs((y1 - y0) * x - (x1 - x0) * y + x1 * y0 - y1 * x0) for x, y in costs]
     knee = costs[far.index(max(far))][0]
@@ -99,7 +104,7 @@ def rfm_pca(spark: SparkSession, d: str) -> DataFrame:
     return PCA(k=3, inputCol="features", outputCol="pc").fit(frame).transform(frame).select("customer_code", *[axes[i].alias(f"pc{i + 1}") for i in range(3)])
 
 
-def churn_model(spark: SparkSession, d: str) -> DataFrame:
+def churn_model(spark: SparkSession, d: str, trees: int = 300) -> DataFrame:
     """Probability of no order in 30 days. The label is a function of one feature, as in the practice this
     follows, so the model tells how features go with recency and no more."""
     cols = ["days_since_last_order", "order_frequency", "total_revenue", "revenue_trend", "recent_90d_revenue", "rfm_score"]
@@ -112,12 +117,22 @@ def churn_model(spark: SparkSession, d: str) -> DataFrame:
     # a quarter of each class by the hash of its codes is held out
     train = weighted.where(F.pmod(F.xxhash64("customer_code"), F.lit(4)) != 0)
     small = n < 200
-    last = LogisticRegression(featuresCol="features", weightCol="w", maxIter=100) if small else RandomForestClassifier(featuresCol="features", weightCol="w", numTrees=60, minInstancesPerNode=5, seed=SEED)
+    last = LogisticRegression(featuresCol="features", weightCol="w", maxIter=100) if small else RandomForestClassifier(featuresCol="features", weightCol="w", numTrees=trees, minInstancesPerNode=5, seed=SEED)
     model = Pipeline(stages=[StandardScaler(inputCol="raw", outputCol="features", withMean=True), last]).fit(train)
     return model.transform(weighted).select("customer_code", vector_to_array("probability")[1].alias("churn_probability"), F.lit(type(last).__name__).alias("method"))
 
 
+#: Sizes of the tree models: trees or rounds, depth, rows of a leaf, and the step of boosting. FULL is what the
+#: forecasts were made with; SHORT, for a quick look, takes a fraction of the trees.
+FULL = {"decision_tree": (1, 8, 5), "random_forest": (500, 10, 3), "forest_all_features": (500, 12, 3), "gradient_boosting": (300, 3, 5, 0.03)}
+SHORT = {"decision_tree": (1, 8, 5), "random_forest": (20, 8, 3), "forest_all_features": (10, 8, 3), "gradient_boosting": (15, 3, 5, 0.1)}
+
+
 def demand_model_zoo(spark: SparkSession, d: str) -> DataFrame:
+    return demand_models(spark, d, SHORT)
+
+
+def demand_models(spark: SparkSession, d: str, sizes: dict[str, tuple] = FULL) -> DataFrame:
     """Errors of tree models of next month's quantity on the held-out month. Randomised trees have no
     counterpart here; a forest that looks at all features stands beside them under its own name."""
     w = by_sku()
@@ -132,32 +147,73 @@ def demand_model_zoo(spark: SparkSession, d: str) -> DataFrame:
     ).fit(p)
     ready = cut(prepare.transform(p).select("product_code", "fiscal_year", "fiscal_month", "label", "features"))
     train, test = ready.where(F.col("fiscal_month") != TEST_MONTH), ready.where(F.col("fiscal_month") == TEST_MONTH)
+    (_, deep, leaf), (trees, deep_f, leaf_f), (trees_a, deep_a, leaf_a), (rounds, deep_g, leaf_g, pace) = (sizes[m] for m in FULL)
     models = {
-        "decision_tree": DecisionTreeRegressor(maxDepth=8, minInstancesPerNode=5, seed=SEED),
-        "random_forest": RandomForestRegressor(numTrees=20, maxDepth=8, minInstancesPerNode=3, seed=SEED),
-        "forest_all_features": RandomForestRegressor(numTrees=10, maxDepth=8, minInstancesPerNode=3, featureSubsetStrategy="all", seed=SEED + 1),
-        "gradient_boosting": GBTRegressor(maxIter=15, maxDepth=3, minInstancesPerNode=5, stepSize=0.1, seed=SEED),
+        "decision_tree": DecisionTreeRegressor(maxDepth=deep, minInstancesPerNode=leaf, seed=SEED),
+        "random_forest": RandomForestRegressor(numTrees=trees, maxDepth=deep_f, minInstancesPerNode=leaf_f, seed=SEED),
+        "forest_all_features": RandomForestRegressor(numTrees=trees_a, maxDepth=deep_a, minInstancesPerNode=leaf_a, featureSubsetStrategy="all", seed=SEED + 1),
+        "gradient_boosting": GBTRegressor(maxIter=rounds, maxDepth=deep_g, minInstancesPerNode=leaf_g, stepSize=pace, seed=SEED),
     }
     scored = [m.fit(train).transform(test).select(F.lit(n).alias("model"), "product_code", "fiscal_year", F.col("label").alias("actual"), F.greatest("prediction", F.lit(0.0)).alias("pred")) for n, m in models.items()]
     return metrics(reduce(DataFrame.unionByName, scored))
 
 
+#: The last day of the time by which a dealer must have ordered not to be new.
+CALIBRATED_UNTIL = "2000-06-30"
+# Groups of dealers and the least P(alive) and expected purchases of each, the first that holds counts.
+NEW_DEALER, LOST_DEALER = "New Dealer", "Likely Churned"
+DEALER_GROUPS = (("Likely to Buy", 0.7, 1.0), ("Monitor High", 0.5, 0.5), ("Monitor Low", 0.5, 0.0), ("At Risk", 0.3, 0.0))
+
+
+def dealer_group(new: Column, alive: Column, expected: Column) -> Column:
+    out = F.when(new, NEW_DEALER)
+    for name, least, orders_ in DEALER_GROUPS:
+        out = out.when((alive >= least) & (expected >= orders_), name)
+    return out.otherwise(LOST_DEALER)
+
+
+def new_dealers(spark: SparkSession, d: str, until: str = CALIBRATED_UNTIL) -> DataFrame:
+    """Every customer with orders, their first one, and whether it came after ``until``."""
+    first = orders(spark, d).groupBy(F.col("o_custkey").cast("string").alias("customer_code")).agg(F.min("order_date").alias("first_order_date"))
+    return first.withColumn("is_new_dealer", F.col("first_order_date") > F.lit(until).cast("date"))
+
+
+def new_dealer_flag(spark: SparkSession, d: str) -> DataFrame:
+    return new_dealers(spark, d)
+
+
 def bgnbd_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """P(alive), purchases expected in 30 and 7 weeks, segment and priority."""
+    """P(alive), purchases expected in 30 and 7 weeks, group and priority; what a dealer has no history for is 0."""
     s = bgnbd_summary(spark, d)
     month, week = bgnbd.forecast(s, 30), bgnbd.forecast(s, 7)
     both = month.withColumnRenamed("expected", "expected_30").join(week.select("customer_code", F.col("expected").alias("expected_7")), "customer_code")
+    three = {c: F.coalesce(F.nanvl(c, F.lit(0.0)), F.lit(0.0)) for c in ("p_alive", "expected_30", "expected_7")}
+    both = both.withColumns(three).join(new_dealers(spark, d).select("customer_code", "is_new_dealer"), "customer_code")
     p, e = F.col("p_alive"), F.col("expected_30")
-    segment = F.when((p >= 0.7) & (e >= 1.0), "core").when((p >= 0.5) & (e >= 0.5), "steady").when(p >= 0.5, "slow").when(p >= 0.3, "fading").otherwise("gone")
-    return both.select("customer_code", F.round("p_alive", 6).alias("p_alive"), F.round("expected_30", 6).alias("expected_30"), F.round("expected_7", 6).alias("expected_7"), segment.alias("segment"), F.bround(p * e, 4).alias("priority"))
+    group = dealer_group(F.col("is_new_dealer"), p, e)
+    return both.select("customer_code", "is_new_dealer", F.round("p_alive", 6).alias("p_alive"), F.round("expected_30", 6).alias("expected_30"), F.round("expected_7", 6).alias("expected_7"), group.alias("segment"), F.bround(p * e, 4).alias("priority"))
+
+
+def rfm_describe(spark: SparkSession, d: str) -> DataFrame:
+    """Count, mean, deviation, least, quartiles and largest of the customer features, a row each."""
+    f = cut(rfm_features(spark, d))  # ranged once per feature
+    out = []
+    for c in ("recency_days", "log_frequency", "log_monetary"):
+        x = F.col(c).cast("double")
+        plain = f.agg(F.count(x).alias("n"), F.round(F.avg(x), 4).alias("mean"), F.round(F.stddev_samp(x), 4).alias("std"), F.min(x).alias("least"), F.max(x).alias("largest"))
+        q = global_quantiles(f, c, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+        out.append(plain.crossJoin(q).select(F.lit(c).alias("feature"), "n", "mean", "std", "least", *[F.round(k, 6).alias(k) for k in ("q25", "q50", "q75")], "largest"))  # one row each
+    return reduce(DataFrame.unionByName, out)
 
 
-QUERIES = {f.__name__: f for f in (churn_heuristic, churn_priority, rfm_kmeans, rfm_segment_names, elbow, rfm_pca, churn_model, demand_model_zoo, bgnbd_forecast)}
+QUERIES = {f.__name__: f for f in (churn_heuristic, churn_priority, rfm_kmeans, rfm_segment_names, elbow, rfm_pca, churn_model, demand_model_zoo, bgnbd_forecast, new_dealer_flag, rfm_describe)}
 
 _SCORE = """round(least(1, greatest(0, least(1, greatest(0, days_since_last_order / 180)) * 0.55::double + (1 - least(1, greatest(0, order_frequency / 6))) * 0.20::double
     + case when revenue_trend < 0 then least(1, abs(revenue_trend)) * 0.20::double else 0 end + (1 - least(1, greatest(0, rfm_score / 15))) * 0.05::double)), 6)"""
 
 ORACLES = {
+    "new_dealer_flag": f"select o_custkey::varchar as customer_code, min(o_orderdate)::date as first_order_date, min(o_orderdate)::date > date '{CALIBRATED_UNTIL}' as is_new_dealer from orders group by 1",
+    "rfm_describe": f"with f as ({FEATURES_SQL['rfm_features']}) " + " union all ".join(f"select '{c}' as feature, count({c}) as n, round(avg({c}), 4) as mean, round(stddev_samp({c}), 4) as std, min({c})::double as least, " + ", ".join(f"round(quantile_cont({c}::double, {q}), 6) as q{int(q * 100)}" for q in (0.25, 0.5, 0.75)) + f", max({c})::double as largest from f" for c in ("recency_days", "log_frequency", "log_monetary")),
     "churn_heuristic": f"with {SCORED_SQL} select customer_code, {_SCORE} as churn_probability from scored",
     "churn_priority": f"with {SCORED_SQL}, p as (select *, {_SCORE} as churn_probability from scored) select customer_code, churn_probability, round(churn_probability * ln(1 + greatest(total_revenue, 0)) * least(15, greatest(1, rfm_score)), 4) as priority_score from p where churn_probability >= 0.6 order by priority_score desc, customer_code limit 50",
 }

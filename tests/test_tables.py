@@ -153,3 +153,35 @@ def test_reports_read_the_lines_once(spark, monkeypatch, name):
     plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
     reads = [p for p in [*scans] if p]
     assert len(reads) == 1 and "l_orderkey" not in plan
+
+
+class TestTexts:
+    def test_order_lines(self, spark):
+        from pedalmill.plans.texts import order_lines_of
+
+        text = "Trang 1\n1 000119999 Xe đạp Bộ 2 1.000 2.000\r\n 2  vm0582063.x Xe Chiếc 2,5 1.000 0\n3 000119999 Xe 26 4 1.000 4.500\n4 000119999 Xe 26 4\n5 000119999 Xe Cái 1.000.5 1 1\n6 000119999 Xe Cái 1 1 2"
+        df = spark.createDataFrame([(1, text, "clash"), (2, None, "x"), (3, "", "y")], "i int, t string, stt string")
+        got = {(r.i, r.stt): (r.line_no, r.product_code, r.unit, r.quantity, r.unit_price, r.line_total, r.parse_error, r.warning) for r in order_lines_of(df, ["i"], "t").collect()}
+        assert got == {
+            (1, "1"): (1, "000119999", "Bộ", 2, 1000, 2000, None, None), (1, "2"): (2, "VM0582063.X", "Chiếc", 2.5, 1000, 2500, None, "TOTAL_FILLED"), (1, "3"): (3, "000119999", None, 4, 1000, 4500, None, "TOTAL_OFF"),
+            (1, "4"): (4, "000119999", None, None, None, None, "TOO_FEW_NUMBERS", None), (1, "5"): (5, "000119999", "Cái", None, None, None, "NOT_A_NUMBER", None), (1, "6"): (6, "000119999", "Cái", 1, 1, 2, None, None),
+        }
+        assert order_lines_of(df.limit(0), ["i"], "t").count() == 0
+
+    def test_colors(self, spark):
+        from pedalmill.plans.texts import standard_colors
+
+        rows = [("Xe đạp MTB Xanh dương 26-21", None, "Xanh Dương"), ("Xe Xanh Pro Mint", "đỏ", "Xanh Mint"), ("Xe Batman", "ĐỎ ", "Đỏ"), ("Xe", None, None), (None, None, None), ("Xe Tím than", None, "Tím"), ("Xe xám", None, "Ghi")]
+        df = spark.createDataFrame([(n, c, w, "clash") for n, c, w in rows], "product_name string, color string, want string, color_new string")
+        assert all(r.color_new == r.want for r in standard_colors(df).collect())
+
+    def test_moments_json_lists(self, spark):
+        from pedalmill.functions.text import bare_province, distinct_parts, error_group, fenced_json, mapped_text, moment
+
+        one = lambda c: spark.range(1).select(c.alias("x")).first().x
+        assert [str(one(moment(F.lit(t)))) for t in ("2024-05-06 07:08:09", "06/05/2024", "x", None)] == ["2024-05-06 07:08:09", "2024-05-06 00:00:00", "None", "None"]
+        assert [one(fenced_json(F.lit(t), "a int"))["a"] for t in ('{"a": 1}', '```json\n{"a": 2}\n```', "```\n{\"a\": 3}```", "x")] == [1, 2, 3, None]
+        assert one(distinct_parts(F.lit("a, b,,a ,c"))) == ["a", "b", "c"] and one(distinct_parts(F.lit("a|b|a"), "|")) == ["a", "b"]
+        assert [one(mapped_text(F.lit(t))) for t in ("NaN", " null ", "Hà Nội-1", None)] == ["", "", "ha noi 1", ""]
+        assert [one(bare_province(F.lit(t))) for t in ("tinh ha tinh", "tp hue", "ha tinh", "thanh pho x")] == ["ha tinh", "hue", "ha tinh", "x"]
+        assert [one(error_group(F.lit(t))) for t in ("dòng 3: Thiếu quantity | Thiếu unit_price", "  khác  lạ ", None)] == ["Thiếu quantity", "khác lạ", ""]
