@@ -17,8 +17,9 @@ from pedalmill.session import cut, spread
 
 #: Tokens of a block.
 BLOCK_TOKENS = 256
-#: Parts into which every source's records are laid for their running token counts; a hot source's too.
-CHUNKS = 1024
+#: Documents of a part; the running token counts of a source are made in so many parts that, if all documents were of
+#: one source, a part would have about as many.
+CHUNK_DOCS = 50_000
 #: Slots of an output shard, unless the mixture would then have more than MAX_SHARDS.
 SHARD_SLOTS, MAX_SHARDS = 1024, 4096
 #: Sources that a target table may list.
@@ -104,7 +105,7 @@ def _key(seed: int, source: str, turn: int) -> int:
     return int.from_bytes(hashlib.blake2b(f"{seed}|{source}|{turn}".encode(), digest_size=8).digest(), "big")
 
 
-def token_offsets(docs: DataFrame, chunks: int = CHUNKS) -> DataFrame:
+def token_offsets(docs: DataFrame, chunks: int) -> DataFrame:
     """``docs`` (doc_id, source, ids) with n, its tokens, and start, those of its source before it.
 
     Running counts are made within ``chunks`` parts per source, by the hash of doc_id, and over the parts'
@@ -138,7 +139,7 @@ def blocks_of(docs: DataFrame, block: int = BLOCK_TOKENS) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK_TOKENS, total: int | None = None, chunks: int = CHUNKS, vocabulary: str = VOCABULARY) -> tuple[DataFrame, list[Plan]]:
+def mix(docs: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK_TOKENS, total: int | None = None, chunks: int | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, list[Plan]]:
     """(mixture, plan). The mixture has shard, slot, source, block, turn (which use of the block), doc_ids,
     n_tokens and ids, a row per slot.
 
@@ -160,7 +161,8 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK_T
     if len(goals) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources have a target")
     listed = docs.select("doc_id", "source", "text").where(F.col("source").isin([g[0] for g in goals]) & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    placed = token_offsets(cut(with_ids(spread(listed), "text", ["doc_id", "source"], vocabulary=vocabulary)), chunks)
+    encoded = cut(with_ids(spread(listed), "text", ["doc_id", "source"], vocabulary=vocabulary))
+    placed = token_offsets(encoded, chunks or max(8, -(-encoded.count() // CHUNK_DOCS)))
     sizes = {r.source: r.n for r in placed.groupBy("source").agg(F.sum("n").alias("n")).collect()}  # at most MAX_SOURCES rows
     plans = plan_slots(goals, sizes, block, total)
     blocks = {p.source: p.blocks for p in plans}

@@ -132,6 +132,8 @@ class Transducer:
         if len(self.states) > REMEMBERED:
             self.states.clear()
             self.start = self._state(-1, b"")
+        if len(self.apart) > 4 * REMEMBERED:
+            self.apart.clear()
         return out
 
 
