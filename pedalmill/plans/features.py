@@ -39,17 +39,20 @@ def sku_monthly(fact: DataFrame) -> DataFrame:
     cents = lambda c: (F.col(c) * 100).cast("bigint")
     salt = F.pmod(F.xxhash64("customer_code"), F.lit(SALTS)).cast("int").alias("s")
     lines = fact.where("product_code is not null").select(*month, "group_code", "color", "customer_code", "order_id", cents("quantity").alias("q"), cents("line_total").alias("r"), cents("unit_price").alias("p"), salt)
-    # a line counts under its order, and under its price if it has one
-    kinds = F.array(F.struct(F.col("customer_code").alias("c"), F.col("order_id").alias("o"), F.lit(None).cast("bigint").alias("p")), F.struct(F.lit(None).cast("string").alias("c"), F.lit(None).cast("bigint").alias("o"), F.col("p")))
+    # a line counts under its order, and under its price and labels; as keys, not as maxima, for those would be sorted
+    kind = "struct<sold:boolean,c:string,o:bigint,p:bigint,g:string,k:string>"
+    by_order = F.struct(F.lit(True), F.col("customer_code"), F.col("order_id"), F.lit(None), F.lit(None), F.lit(None)).cast(kind)
+    by_label = F.struct(F.lit(False), F.lit(None), F.lit(None), F.when(F.col("p") > 0, F.col("p")), F.col("group_code"), F.col("color")).cast(kind)
     part = [*month, "s"]
-    both = lines.repartition(*part).withColumn("x", F.explode(F.slice(kinds, 1, F.when(F.col("p") > 0, 2).otherwise(1)))).select(*part, "group_code", "color", "q", "r", "x.*")
-    sums = lambda *more: [F.sum(c).alias(c) for c in ("q", "r", *more)] + [F.max(c).alias(c) for c in ("group_code", "color")]
-    orders_ = both.groupBy(*part, "c", "o", "p").agg(*sums(), F.count(F.lit(1)).alias("n"))
-    dealers = orders_.groupBy(*part, "c", "p").agg(*sums("n"), F.count(F.lit(1)).alias("o"))
-    sold = F.col("p").isNull()
+    both = lines.repartition(*part).withColumn("x", F.explode(F.array(by_order, by_label))).select(*part, "q", "r", "x.*")
+    label = ["sold", "p", "g", "k"]
+    sums = lambda *more: [F.sum(c).alias(c) for c in ("q", "r", *more)]
+    orders_ = both.groupBy(*part, *label, "c", "o").agg(*sums(), F.count(F.lit(1)).alias("n"))
+    dealers = orders_.groupBy(*part, *label, "c").agg(*sums("n"), F.count(F.lit(1)).alias("o"))
+    sold = F.col("sold")
     once = [F.sum(F.when(sold, F.col(c))).alias(c) for c in ("q", "r", "o")]
-    prices = F.collect_list(F.when(~sold, F.struct((F.col("p") / 100).alias("price"), "n"))).alias("prices")
-    salted = dealers.groupBy(*part).agg(*once, F.count_if(sold).alias("c"), F.max("group_code").alias("group_code"), F.max("color").alias("color"), prices)
+    prices = F.collect_list(F.when(F.col("p").isNotNull(), F.struct((F.col("p") / 100).alias("price"), "n"))).alias("prices")
+    salted = dealers.groupBy(*part).agg(*once, F.count_if(sold).alias("c"), F.max("g").alias("group_code"), F.max("k").alias("color"), prices)
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return salted.groupBy(*month).agg(
         (total("q").cast("double") / 100).alias("qty"), (total("r").cast("double") / 100).alias("revenue"), total("o").alias("order_count"), F.sum("c").alias("active_dealer_count"),
